@@ -108,7 +108,8 @@ def season_list(latest: Column, months: int = 48) -> Column:
 def retry_after_seconds(header: Column, now: Column) -> Column:
     """Finite non-negative seconds, or an HTTP date relative to ``now``."""
     number = header.try_cast("double")
-    date = F.try_to_timestamp(header, F.lit("EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+    undayed = F.regexp_replace(header, "^[A-Za-z]{3}, ", "")
+    date = F.try_to_timestamp(undayed, F.lit("dd MMM yyyy HH:mm:ss 'GMT'"))
     finite = (number >= 0) & (number < float("inf")) & ~F.isnan(number)
     return (
         F.when(number.isNotNull(), F.when(finite, number))

@@ -76,9 +76,9 @@ def slot_bands(position: Column, rank: Column, has_history: Column, cursor: int
     at ``cursor``. Without history rows the roots take its places."""
     turns, at = divmod(cursor, 5)
     i = position - 1
-    root = i + 2 * turns + (at > 0) + (at > 2)
-    history = i + 2 * turns + (at > 1) + (at > 3)
-    alone = i + 4 * turns + min(at, 4)
+    root = i + (2 * turns + (at > 0) + (at > 2))
+    history = i + (2 * turns + (at > 1) + (at > 3))
+    alone = i + (4 * turns + min(at, 4))
     return (
         F.when(rank == 4, (i + turns) * 5 + 4)
         .when(rank == 3, _div(history, 2) * 5 + 2 * (history % 2) + 1)
@@ -139,9 +139,9 @@ def discovered_players(pages: DataFrame, tags: Column, new_battles: DataFrame, b
     named = pages.select("url", "seq", "owner", F.posexplode(
         F.array_distinct(F.transform(tags, X.strip_tag))).alias("position", "player"))
     named = named.filter((F.col("player") != "") & ~F.col("player").eqNullSafe(F.upper("owner")))
-    fresh = new_battles.select("url", F.explode(F.concat("team_tags", "opponent_tags")).alias("_t")).select(
-        "url", X.strip_tag(F.col("_t")).alias("player")).distinct().withColumn("_fresh", F.lit(True))
-    banded = named.join(fresh, ["url", "player"], "left").select(
+    fresh = new_battles.select("url", "seq", F.explode(F.concat("team_tags", "opponent_tags")).alias("_t")).select(
+        "url", "seq", X.strip_tag(F.col("_t")).alias("player")).distinct().withColumn("_fresh", F.lit(True))
+    banded = named.join(fresh, ["url", "seq", "player"], "left").select(
         U.list_url(F.col("player"), base).alias("task_url"), F.lit("list").alias("kind"),
         F.col("player").alias("tag"), F.lit(1).alias("page"),
         F.when(F.col("_fresh"), FRESH).otherwise(OVERLAP).alias("discovery_band"),

@@ -120,7 +120,7 @@ def merge(replays: DataFrame, metadata: DataFrame) -> DataFrame:
     One equi-join on the battle tag; decks give each play its form, and each side its
     unplayed and unknown cards.
     """
-    described = metadata.select(
+    described = metadata.withColumn("draft", is_true(F.col("draft"))).select(
         "battle_tag", *_MERGED,
         F.struct(
             is_true(F.col("complete")).alias("complete"),

@@ -265,7 +265,7 @@ def battles(pages: DataFrame, base: str) -> DataFrame:
 
     def listed_deck(name: str) -> Column:
         parts = F.split(F.coalesce(F.col("i.matchup")[name], F.lit("")), ",")
-        return F.filter(F.transform(parts, F.btrim), lambda x: x != "")
+        return F.filter(F.transform(parts, lambda x: F.btrim(x)), lambda x: x != "")
 
     none = F.array().cast("array<string>")
     team, opponent = X.split_tags(button("data-team-tags")), X.split_tags(button("data-opponent-tags"))
@@ -331,7 +331,7 @@ def player_tags(body: Column) -> Column:
             F.split(X.attribute(b, "data-team-tags"), ","), F.split(X.attribute(b, "data-opponent-tags"), ",")
         ),
     )
-    return F.array_distinct(F.filter(F.transform(F.flatten(named), F.btrim), lambda t: t != ""))
+    return F.array_distinct(F.filter(F.transform(F.flatten(named), lambda t: F.btrim(t)), lambda t: t != ""))
 
 
 def player_links(body: Column) -> Column:
@@ -356,6 +356,11 @@ def _has_icon(anchor: Column, direction: str) -> Column:
     return anchor.rlike(rf'class="{words}[^"]*"')
 
 
+def links(body: Column) -> Column:
+    """Link targets of a page, in order."""
+    return F.transform(_anchors(body), lambda a: _anchor_part(a, "href"))
+
+
 def next_page(body: Column, base: str) -> Column:
     """Struct of the next history page's ``url`` and an ``error`` when the direction
     cannot be told. A link marked as forward wins over unmarked ones."""

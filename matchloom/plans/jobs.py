@@ -91,13 +91,14 @@ def expand(
     ``zero_new_chain``, ``previous_fingerprint``, ``body``): players and next pages."""
     new = frontier.first_sightings(battles.filter("eligible"), known)
     players = frontier.discovered_players(pages, list_pages.player_tags(F.col("body")), new, base)
-    per_page = battles.groupBy("url").agg(
+    capture = ["url", "seq"]
+    per_page = battles.groupBy(*capture).agg(
         F.count_if("eligible").alias("eligible"),
-        K.fingerprint(F.collect_set("battle_tag")).alias("fingerprint"))  # a page's own battles
-    credited = new.groupBy("url").agg(F.count(F.lit(1)).alias("new"))
+        K.fingerprint(F.collect_set("battle_tag")).alias("fingerprint"))
+    credited = new.groupBy(*capture).agg(F.count(F.lit(1)).alias("new"))
     step = (
         pages.withColumn("_next", list_pages.next_page(F.col("body"), base)).drop("body")
-        .join(per_page, "url", "left").join(credited, "url", "left")
+        .join(per_page, capture, "left").join(credited, capture, "left")
         .withColumns({
             "eligible": F.coalesce("eligible", F.lit(0)), "new": F.coalesce("new", F.lit(0)),
             "fingerprint": F.coalesce("fingerprint", K.fingerprint(F.array().cast("array<string>"))),
