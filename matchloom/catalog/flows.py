@@ -1 +1,304 @@
-"""To come."""
+"""Whole jobs: gate, admission, discovery, upgrades, sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from matchloom import rendering as R
+from matchloom import values as V
+from matchloom.catalog.battles import _OUTCOME, _T1, _T2, _battles, _pages, _payloads
+from matchloom.catalog.derived import AUTHORITATIVE, FACTS_SQL, NORMAL
+from matchloom.catalog.registry import query
+from matchloom.functions import text as X
+from matchloom.operators import frontier, gate, upgrade
+from matchloom.plans import jobs
+from matchloom.session import fresh_dir, load, materialize
+from matchloom.sources import sinks
+
+_CARDS = tuple(f"card{i}{form}" for i in range(104) for form in ("", "-ev1", "-hero"))
+CONTRACT = gate.Contract(
+    version=3, game_version="1.0", sha256="c" * 64, cards=_CARDS, towers=("tower0", "tower1", "tower2"),
+    ability_sources=tuple(c for c in _CARDS if c.endswith("-hero")),
+    modes={72000000 + i: 1 + i for i in range(4)})
+
+
+def _metadata(spark, sf):
+    """Battles as a table, the way the list job leaves them for the replay job."""
+    return materialize(_battles(spark, sf), "battles")
+
+
+_FIRST_ERROR = f"""CASE WHEN k % 25 = 7 THEN 'invalid replay duration: 400'
+  WHEN {_T1} <> 8 AND {_T2} <> 8 THEN 'card play count mismatch for team: markers=8, table=9'
+  WHEN {_T2} <> 8 THEN 'card play count mismatch for opponent: markers=8, table=9' END"""
+_MODE = """CASE WHEN bare THEN 'matchup_players_not_1v1;not_single_round;numeric_game_mode_id_missing;numeric_game_mode_provenance_missing;battle_index_missing;battle_index_provenance_missing'
+  ELSE concat_ws(';', CASE WHEN k % 17 = 5 THEN 'draft_or_unknown' END, CASE WHEN k % 23 = 9 THEN 'matchup_players_not_1v1' END, CASE WHEN k % 29 = 6 THEN 'river_race_duel' END,
+    CASE WHEN k % 23 = 9 THEN 'numeric_game_mode_id_missing' WHEN k % 5 = 4 THEN 'numeric_game_mode_not_allowed' END,
+    CASE WHEN k % 23 = 9 THEN 'numeric_game_mode_provenance_missing;battle_index_provenance_missing' END) END"""
+_NO_KING = "(k % 2 <> 0 AND (k + {s}) % 3 <> 2)"
+_KING = ", ".join(
+    f"CASE WHEN {_NO_KING.format(s=i)} THEN '{s}_king_tower_level_missing;{s}_king_tower_level_exact_evidence_missing' END" for i, s in enumerate(gate.SIDES))
+_VERDICT = f"""
+v AS (SELECT *, {_FIRST_ERROR} AS err, {_MODE} AS m, CASE WHEN k % 19 = 7 THEN 'final_tower_hp_missing' ELSE '' END AS t, concat_ws(';', {_KING}) AS g,
+  concat_ws(';', CASE WHEN k % 10 = 3 THEN 'team_card_levels_missing;team_deck_card_0_invalid' END, CASE WHEN k % 4 = 3 THEN 'team_native_tower_troop_mapping_missing;opponent_native_tower_troop_mapping_missing' END) AS d,
+  CASE WHEN k % 33 = 3 THEN 'team_multiple_commands_same_tick;opponent_multiple_commands_same_tick' ELSE '' END AS e
+  FROM {FACTS_SQL} WHERE {_OUTCOME} = 'ok'),
+j AS (SELECT tag AS battle_tag, CASE WHEN err IS NOT NULL THEN 'schema' WHEN m <> '' THEN 'mode' WHEN t <> '' THEN 'terminal' WHEN g <> '' THEN 'king_level'
+    WHEN d <> '' THEN 'deck' WHEN e <> '' THEN 'events' ELSE '{V.ACCEPT_TIER}' END AS tier,
+  CASE WHEN err IS NOT NULL THEN err WHEN m <> '' THEN m WHEN t <> '' THEN t WHEN g <> '' THEN g WHEN d <> '' THEN d ELSE e END AS reason FROM v)
+"""
+
+
+def _judged(spark, sf):
+    documents = materialize(jobs.replay_etl(_payloads(spark, sf)), "documents")
+    return jobs.admit(documents, _metadata(spark, sf), CONTRACT)
+
+
+@query(f"WITH {_VERDICT} SELECT battle_tag, tier, reason, CASE WHEN tier = '{V.ACCEPT_TIER}' THEN 'accepted' ELSE 'rejected' END AS decision FROM j")
+def gate_verdicts(spark, sf):
+    return _judged(spark, sf).select("battle_tag", "tier", "reason", "decision")
+
+
+@query(f"WITH {_VERDICT} SELECT tier, reason, count(*) AS battles FROM j GROUP BY ALL")
+def gate_tiers(spark, sf):
+    return _judged(spark, sf).groupBy("tier", "reason").agg(F.count(F.lit(1)).alias("battles"))
+
+
+@query(f"""
+WITH v AS (SELECT tag AS battle_tag, {_FIRST_ERROR} AS reason FROM {FACTS_SQL} WHERE {_OUTCOME} = 'ok')
+SELECT battle_tag, reason, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'retry' END AS decision FROM v
+""")
+def validate_first_error(spark, sf):
+    documents = materialize(jobs.replay_etl(_payloads(spark, sf)), "documents")
+    return jobs.admit(documents, _metadata(spark, sf)).select("battle_tag", "reason", "decision")
+
+
+@query(f"""
+SELECT tag AS battle_tag, CASE WHEN NOT bare THEN 8 END AS forms_known,
+  CASE WHEN NOT bare THEN '' END AS unplayed, CASE WHEN NOT bare THEN '' END AS unknown, {AUTHORITATIVE} AS authoritative
+FROM {FACTS_SQL} WHERE {_OUTCOME} = 'ok'
+""")
+def merge_forms(spark, sf):
+    documents = materialize(jobs.replay_etl(_payloads(spark, sf)), "documents").filter("outcome = 'ok'")
+    merged = gate.merge(documents, _metadata(spark, sf))
+    mapped = F.size(F.filter("card_plays", lambda p: (p["side"] == "team") & (X.base_slug(p["card_form"]) == p["card_base"])))
+    return merged.select(
+        "battle_tag", F.when(F.col("team_deck").isNotNull(), mapped).alias("forms_known"),
+        F.array_join("deck_validation.team_unplayed_cards", ",").alias("unplayed"),
+        F.array_join("deck_validation.opponent_played_unknown", ",").alias("unknown"),
+        F.col("deck_metadata.authoritative_complete").alias("authoritative"))
+
+
+@query(f"""
+SELECT tag AS battle_tag, CASE WHEN NOT {AUTHORITATIVE} THEN 'dependency_unresolved' WHEN k % 5 = 4 THEN 'mode' WHEN {_NO_KING.format(s=0)} OR {_NO_KING.format(s=1)} THEN 'king_level' END AS tier,
+  {NORMAL} AND {AUTHORITATIVE} AND k % 5 <> 4 AND NOT {_NO_KING.format(s=0)} AND NOT {_NO_KING.format(s=1)} AND k % 4 <> 3 AND ts < 900000000 AS eligible FROM {FACTS_SQL}
+""")
+def early_gate(spark, sf):
+    """Decisions that need no replay, and which battles are worth one."""
+    return _metadata(spark, sf).select(
+        "battle_tag", gate.early_decision(CONTRACT)["tier"].alias("tier"), gate.eligible(CONTRACT, high=900_000_000).alias("eligible"))
+
+
+@query(f"SELECT tag AS battle_tag, 'battle:' || tag AS dedup_key FROM {FACTS_SQL} WHERE {NORMAL} AND ts >= 850000000 AND c >= 100 AND c % 11 <> 3")
+def list_details(spark, sf):
+    """The list job over pages captured twice: new details outside exclusions and known tasks."""
+    pages = _pages(spark, sf)
+    captured = pages.unionByName(pages.withColumn("seq", F.col("seq") + 1_000_000))
+    orders = load(spark, sf, "orders")
+    barred = orders.filter("o_custkey < 100").selectExpr("'B' || o_orderkey AS battle_tag")
+    known = orders.filter("o_custkey % 11 = 3").selectExpr("'B' || o_orderkey AS battle_tag")
+    return jobs.list_etl(captured, R.BASE, exclusions=barred, known=known, low=850_000_000)["details"].select("battle_tag", "dedup_key")
+
+
+def _expansion(spark, sf):
+    pages = _pages(spark, sf).withColumns({
+        "owner": F.expr("'OWN' || page_no"), "page": (F.col("page_no") % 4 + 1).cast("int"),
+        "zero_new_chain": (F.col("page_no") % 3).cast("int"), "previous_fingerprint": F.lit(None).cast("string")})
+    battles = _metadata(spark, sf).withColumn("eligible", gate.eligible())
+    known = load(spark, sf, "orders").filter("o_orderkey % 3 = 0 OR (o_orderkey div 25) % 5 = 2").selectExpr("'B' || o_orderkey AS battle_tag")
+    return jobs.expand(pages, battles, known, R.BASE, max_pages=4)
+
+
+_NEW = f"({NORMAL} AND k % 3 <> 0 AND page_no % 5 <> 2)"
+
+
+@query(f"""
+SELECT 'player:' || rival AS dedup_key, CASE WHEN bool_or({_NEW}) THEN 0 ELSE 1 END AS discovery_band, min(page_no) AS seq FROM {FACTS_SQL} GROUP BY rival
+""")
+def discovered_players(spark, sf):
+    return _expansion(spark, sf)["players"].select("dedup_key", "discovery_band", "seq")
+
+
+_NAV = f"""
+n AS (SELECT page_no, count(*) FILTER ({NORMAL}) AS e, count(*) FILTER ({_NEW}) AS w, min(k) AS low FROM {FACTS_SQL} GROUP BY page_no),
+z AS (SELECT *, CASE WHEN w = 0 THEN page_no % 3 + 1 ELSE 0 END AS chain, page_no % 3 <> 1 AND page_no % 4 + 1 < 4 AS usable FROM n)
+"""
+
+
+@query(f"""
+WITH {_NAV} SELECT page_no AS task_id, e AS eligible, w AS "new", usable AND chain >= 2 AS cutoff, CASE WHEN usable AND chain >= 2 THEN 'consecutive_zero_new' END AS cutoff_reason FROM z
+""")
+def page_navigation(spark, sf):
+    return _expansion(spark, sf)["navigation"].select("task_id", "eligible", "new", "cutoff", "cutoff_reason")
+
+
+@query(f"""
+WITH {_NAV} SELECT 'http://corpus.example/player/OWN' || page_no || '/battles/history?before=' || (low + 1000000000000) AS dedup_key, CAST(page_no % 4 + 2 AS INT) AS page,
+  CASE WHEN w > 0 THEN 0 ELSE 1 END AS discovery_band, CAST(chain AS INT) AS zero_new_chain FROM z WHERE usable AND chain < 2
+""")
+def history_pages(spark, sf):
+    return _expansion(spark, sf)["history"].select("dedup_key", "page", "discovery_band", "zero_new_chain")
+
+
+@query("""
+WITH f AS (SELECT 'player:OPP' || c_custkey AS dedup_key, c_custkey % 2 AS band, CASE WHEN c_custkey % 3 = 0 THEN 'pending' ELSE 'done' END AS status FROM customer),
+d AS (SELECT DISTINCT 'player:OPP' || o_custkey AS dedup_key FROM orders WHERE o_totalprice > 300000)
+SELECT dedup_key, CASE WHEN status = 'pending' AND dedup_key IN (SELECT dedup_key FROM d) THEN 0 ELSE band END AS discovery_band FROM f
+""")
+def band_promotion(spark, sf):
+    held = load(spark, sf, "customer").selectExpr(
+        "'player:OPP' || c_custkey AS dedup_key", "'list' AS kind", "c_custkey % 2 AS discovery_band",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'pending' ELSE 'done' END AS status")
+    seen = load(spark, sf, "orders").filter("o_totalprice > 300000").selectExpr("'player:OPP' || o_custkey AS dedup_key").distinct()
+    return frontier.apply_discovery(held, seen.withColumn("discovery_band", F.lit(0)))[1].select("dedup_key", "discovery_band")
+
+
+# -- upgrades ---------------------------------------------------------------------------
+
+
+def _upgrade_inputs(spark, sf):
+    facts = R.battle_facts(load(spark, sf, "orders"))
+    manifest = facts.selectExpr(
+        "'/corpus/' || (k % 7) || '/raw/' || tag || '.json' AS source_path", "tag AS battle_tag", "CAST(NULL AS INT) AS schema_version",
+        "CASE WHEN k % 5 = 0 THEN 'http://corpus.example/m?tag=' || tag || '&referrer_path=/m' || k % 9 END AS replay_url",
+        "CASE WHEN k % 5 = 1 THEN 'http://corpus.example/player/' || owner || '/battles' END AS source_list_url")
+    documents = facts.selectExpr(
+        "'/corpus/' || (k % 7) || '/raw/' || tag || '.json' AS source_path", "CAST(NULL AS STRING) AS battle_tag",
+        "CASE WHEN k % 6 > 0 THEN CAST(k % 6 AS INT) END AS schema_version", "CASE WHEN k % 5 = 1 THEN 'http://corpus.example/d?tag=' || tag END AS replay_endpoint",
+        "CASE WHEN k % 5 IN (2, 3) THEN 'http://corpus.example/player/' || owner || '/battles' END AS source_list_url",
+        "array(owner) AS team_tags", "CASE WHEN k % 10 = 8 THEN array(rival, 'X') ELSE array(rival) END AS opponent_tags",
+        "CAST(k % 4 AS INT) AS team_crowns", "CAST((k + 1) % 3 AS INT) AS opponent_crowns")
+    index = facts.filter("k % 5 = 2").selectExpr(
+        "k AS seq", "'battle' AS kind", "'' AS battle_tag", "'http://corpus.example/i?tag=' || tag AS url")
+    return manifest, documents, index
+
+
+_CANDIDATE = f"""
+u AS (SELECT *, CAST(CASE WHEN k % 6 > 0 THEN k % 6 ELSE 1 END AS INT) AS v,
+  CASE k % 5 WHEN 0 THEN 'http://corpus.example/m?tag=' || tag || '&referrer_path=/m' || k % 9 WHEN 1 THEN 'http://corpus.example/d?tag=' || tag WHEN 2 THEN 'http://corpus.example/i?tag=' || tag END AS own,
+  CASE k % 5 WHEN 0 THEN '/m' || k % 9 WHEN 4 THEN NULL ELSE 'http://corpus.example/player/' || owner || '/battles' END AS ref FROM {FACTS_SQL}),
+r AS (SELECT *, coalesce(own, CASE WHEN ref IS NOT NULL AND k % 10 <> 8 THEN 'http://corpus.example/data/replay?tag=' || tag || '&team_tags=' || owner || '&opponent_tags=' || rival ||
+  '&team_crowns=' || (k % 4) || '&opponent_crowns=' || ((k + 1) % 3) || '&referrer_path=' || ref END) AS url FROM u),
+c AS (SELECT tag AS battle_tag, v AS source_schema_version, url AS replay_url, ref AS source_list_url, v IN (3, 4) AS local_exact_replay_body, url IS NOT NULL AND ref IS NOT NULL AS addressable FROM r)
+"""
+
+
+@query(f"WITH {_CANDIDATE} SELECT * FROM c")
+def upgrade_candidates(spark, sf):
+    return upgrade.candidates(*_upgrade_inputs(spark, sf)).drop("source_path", "upgrade_tier")
+
+
+@query(f"""
+WITH {_CANDIDATE} SELECT count(*) AS unique_battles, count(*) FILTER (local_exact_replay_body) AS locally_reusable, count(*) FILTER (NOT local_exact_replay_body) AS replay_refetch_required,
+  count(DISTINCT source_list_url) FILTER (addressable) AS unique_source_list_urls, count(*) FILTER (addressable) AS addressable_battles, count(*) FILTER (NOT addressable) AS unaddressable_battles FROM c
+""")
+def upgrade_summary(spark, sf):
+    return jobs.plan_upgrades(*_upgrade_inputs(spark, sf), 0.3, 3.8)["summary"]
+
+
+@query(f"WITH {_CANDIDATE} SELECT source_schema_version, count(*) AS n FROM c GROUP BY ALL")
+def upgrade_schemas(spark, sf):
+    return jobs.plan_upgrades(*_upgrade_inputs(spark, sf), 0.3, 3.8)["schemas"]
+
+
+@query(f"WITH {_CANDIDATE} SELECT source_list_url, count(*) AS candidates FROM c WHERE addressable GROUP BY ALL")
+def upgrade_groups(spark, sf):
+    return jobs.plan_upgrades(*_upgrade_inputs(spark, sf), 0.3, 3.8)["groups"]
+
+
+@query(f"""
+WITH {_CANDIDATE}, t AS (SELECT count(DISTINCT source_list_url) FILTER (addressable) AS l, count(*) FILTER (NOT local_exact_replay_body) AS p FROM c)
+SELECT l AS list_requests, p AS replay_requests, round((l / 0.3::DOUBLE + p / 3.8::DOUBLE) / 3600, 2) AS hours_excluding_retries FROM t
+""")
+def upgrade_estimate(spark, sf):
+    return jobs.plan_upgrades(*_upgrade_inputs(spark, sf), 0.3, 3.8)["estimate"]
+
+
+
+
+@query(f"""
+WITH f AS (SELECT *, page_no % 4 AS m, page_no % 4 <> 3 AS captured, {AUTHORITATIVE} AND k % 7 <> 1 AND k % 3 <> 2 AS a_ok, NOT (k % 3 = 2) AND true AS a_seen, {AUTHORITATIVE} AND k % 7 <> 1 AS b_ok FROM {FACTS_SQL})
+SELECT tag AS battle_tag, CASE WHEN NOT captured THEN 'queued' WHEN a_ok THEN CASE WHEN k % 5 = 4 OR {_NO_KING.format(s=0)} OR {_NO_KING.format(s=1)} THEN 'rejected' ELSE 'resolved' END
+  WHEN m = 1 THEN 'dependency_pending' WHEN b_ok THEN CASE WHEN k % 5 = 4 OR {_NO_KING.format(s=0)} OR {_NO_KING.format(s=1)} THEN 'rejected' ELSE 'resolved_on_confirmation' END ELSE 'rejected' END AS status,
+  CASE WHEN captured AND NOT a_ok THEN CASE WHEN a_seen THEN 'source list metadata incomplete' ELSE 'battle tag absent from exact source list page' END END AS first_observation,
+  CASE WHEN captured AND (a_ok OR (m <> 1 AND b_ok)) THEN CASE WHEN k % 5 = 4 THEN 'mode' WHEN {_NO_KING.format(s=0)} OR {_NO_KING.format(s=1)} THEN 'king_level' END
+    WHEN captured AND m <> 1 THEN 'dependency_unresolved' END AS tier FROM f
+""")
+def upgrade_confirmation(spark, sf):
+    """Pages captured from two lanes: the first lacks every third battle, some stay
+    incomplete, some pages have no second lane or no capture at all."""
+    battles = _metadata(spark, sf).filter("page_no % 4 <> 3").withColumn(
+        "k", F.expr("CAST(substring(battle_tag, 2) AS BIGINT)")).withColumn(
+        "authoritative_complete", F.col("authoritative_complete") & (F.col("k") % 7 != 1))
+    first = battles.filter("k % 3 <> 2").withColumns({"lane": F.lit("a"), "seq": F.col("page_no") * 10 + 1})
+    again = battles.withColumns({
+        "lane": F.when(F.col("page_no") % 4 == 1, "a").otherwise("b"), "seq": F.col("page_no") * 10 + 2})
+    shown = first.unionByName(again)
+    captures = shown.groupBy("url", "lane", "seq").agg(F.count(F.lit(1)).alias("n_battles")).withColumn(
+        "body_sha", F.sha2(F.concat_ws(":", "url", "lane", "seq"), 256))
+    blank = captures.select("url", F.lit("c").alias("lane"), (F.col("seq") - 2).alias("seq"), F.lit(0).cast("bigint").alias("n_battles"), "body_sha")
+    rows = R.battle_facts(load(spark, sf, "orders")).select(
+        F.col("tag").alias("battle_tag"), F.expr(f"'{R.BASE}/player/OWN' || page_no || '/battles'").alias("source_list_url"), F.lit(True).alias("addressable"))
+    decided = jobs.resolve_upgrades(rows, captures.unionByName(blank), shown, CONTRACT)
+    return decided.select("battle_tag", "status", "first_observation", "tier")
+
+
+@query("""
+WITH p AS (SELECT o_orderkey, '/c/' || (o_orderkey % 5) || '/d' || (o_orderkey % 11) || '/x/' || o_orderkey || '.json' AS source_path, o_orderkey % 5 AS a, o_orderkey % 11 AS b FROM orders)
+SELECT source_path, CASE WHEN b < 4 THEN '/c/' || a || '/d' || b || '/index.jsonl' ELSE '/c/' || a || '/index.jsonl' END AS index_path FROM p WHERE b < 4 OR a < 3
+""")
+def nearest_index(spark, sf):
+    orders = load(spark, sf, "orders")
+    paths = orders.selectExpr("'/c/' || (o_orderkey % 5) || '/d' || (o_orderkey % 11) || '/x/' || o_orderkey || '.json' AS source_path")
+    deep = orders.filter("o_orderkey % 11 < 4").selectExpr("'/c/' || (o_orderkey % 5) || '/d' || (o_orderkey % 11) || '/index.jsonl' AS index_path")
+    top = orders.filter("o_orderkey % 5 < 3").selectExpr("'/c/' || (o_orderkey % 5) || '/index.jsonl' AS index_path")
+    return upgrade.nearest_index(paths, deep.unionByName(top).distinct())
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 1 THEN 'schema5 reuse source SHA-256 mismatch' WHEN o_orderkey % 7 = 2 OR o_orderkey % 9 = 4 THEN 'schema5 reuse source contract mismatch' END AS fault,
+  CASE WHEN o_orderkey % 5 = 1 OR o_orderkey % 7 = 2 OR o_orderkey % 9 = 4 THEN 'contract_migration' END AS tier FROM orders
+""")
+def reuse_check(spark, sf):
+    rows = load(spark, sf, "orders").selectExpr(
+        "o_orderkey", "sha2('f' || o_orderkey, 256) AS expected_file_sha256", "CASE WHEN o_orderkey % 5 = 1 THEN 'x' ELSE sha2('f' || o_orderkey, 256) END AS file_sha256",
+        "'c1' AS expected_contract_sha256", "CASE WHEN o_orderkey % 7 = 2 THEN 'c2' ELSE 'c1' END AS contract_sha256",
+        "'f1' AS expected_contract_file_sha256", "'f1' AS contract_file_sha256", "'1' AS expected_game_version", "'1' AS game_version",
+        "CASE WHEN o_orderkey % 9 = 4 THEN 4 ELSE 5 END AS schema_version")
+    return upgrade.reusable(rows, "new").select("o_orderkey", "fault", "tier")
+
+
+# -- sinks ----------------------------------------------------------------------------------
+
+
+@query("SELECT lower(substr('B' || o_orderkey, 1, 2)) AS tag_prefix, count(*) AS documents FROM orders GROUP BY ALL")
+def replay_shards(spark, sf):
+    """Documents written by identity shard, then read back."""
+    path = fresh_dir(spark, "replays")
+    rows = R.battle_facts(load(spark, sf, "orders")).selectExpr("tag AS battle_tag", "'http://corpus.example/data/replay?tag=' || tag AS url", "k")
+    sinks.write_replays(rows, path)
+    return spark.read.parquet(path).groupBy("tag_prefix").agg(F.count_distinct("document").alias("documents")).withColumn(
+        "tag_prefix", F.col("tag_prefix").cast("string"))
+
+
+@query("""
+SELECT 'battle|B' || o_custkey AS index_key, min(o_orderkey) AS seq FROM orders GROUP BY 1
+""")
+def index_once(spark, sf):
+    """Index batches appended twice over: each battle is kept once, at its first record."""
+    path = fresh_dir(spark, "index")
+    rows = load(spark, sf, "orders").selectExpr(
+        "'battle' AS kind", "'B' || o_custkey AS battle_tag", "'u' || o_orderkey AS url", "o_orderkey AS seq")
+    middle = rows.agg(F.max("seq") / 2).scalar()
+    for batch in (rows.filter(F.col("seq") <= middle), rows.filter(F.col("seq") <= middle), rows):
+        sinks.append_index(batch, path)
+    return spark.read.parquet(path).select("index_key", "seq")

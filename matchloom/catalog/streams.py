@@ -1 +1,93 @@
-"""To come."""
+"""Continuous jobs, run over what is there and compared with their batch meaning."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from matchloom.catalog import derived as D
+from matchloom.catalog.cohorts import _BATTLE, _MEMBER_SQL, _members
+from matchloom.catalog.registry import query
+from matchloom.catalog.work import _FOLD, _VISIT_STATE
+from matchloom.session import fresh_dir, load
+from matchloom.streaming import ingest
+
+
+def _replayed(spark, sf, table: str, order: str, batches: int = 3):
+    """The table as a stream of several micro-batches in ``order``."""
+    path = fresh_dir(spark, f"stream-{table}")
+    rows = load(spark, sf, table)
+    width = rows.agg((F.max(order) + 1) / batches).scalar()
+    for i in range(batches):
+        rows.filter(F.floor(F.col(order) / width) == i).coalesce(1).write.mode("append").parquet(path)
+    return ingest.table_stream(spark, path, rows, max_files=1)
+
+
+def _select(df, columns: dict[str, str]):
+    return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def stream_dedup(spark, sf):
+    out, mark = fresh_dir(spark, "dedup"), fresh_dir(spark, "mark")
+    ingest.dedup_into(_replayed(spark, sf, "events", "event_id"), out, mark, ["user_id", "event_type"], "event_id")
+    return spark.read.parquet(out).select("user_id", "event_type", "event_id")
+
+
+@query("""
+WITH w AS (SELECT CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01')) AS BIGINT) AS start_s, event_type, count(*) AS n FROM events GROUP BY ALL)
+SELECT * FROM w WHERE start_s + 21600 <= (SELECT floor(epoch(max(ts))) - 3600 FROM events)
+""")
+def stream_throughput(spark, sf):
+    """Windows the watermark has closed."""
+    out, mark = fresh_dir(spark, "throughput"), fresh_dir(spark, "mark")
+    counted = ingest.throughput_stream(_replayed(spark, sf, "events", "event_id"), "ts", "6 hours", "1 hour", "event_type")
+    ingest.run_available(counted.writeStream.format("parquet").option("path", out).outputMode("append"), mark)
+    return spark.read.parquet(out)
+
+
+@query(_VISIT_STATE)
+def stream_visits(spark, sf):
+    out, mark = fresh_dir(spark, "visits"), fresh_dir(spark, "mark")
+    ingest.log_into(_select(_replayed(spark, sf, "events", "event_id"), D.VISIT), out, mark)
+    return ingest.visit_states(spark, out, "url", 1800.0, 7200.0)
+
+
+@query(_FOLD)
+def stream_metadata(spark, sf):
+    out, mark = fresh_dir(spark, "metadata"), fresh_dir(spark, "mark")
+
+    def tags(c: str):
+        return F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.array(F.col(c)))
+
+    seen = _select(_replayed(spark, sf, "events", "event_id"), D.OBSERVATION).withColumns(
+        {"team_tags": tags("team"), "opponent_tags": tags("opponent"), "origin": F.col("seq")})
+    ingest.metadata_into(seen, out, mark)
+    versions = spark.read.parquet(out)
+    newest = versions.agg(F.max("v")).scalar()
+    return versions.filter(F.col("v") == newest).select(
+        "battle_tag", F.col("origin").alias("seq"), "complete", "authoritative_complete")
+
+
+@query(f"""
+WITH b AS {D._sql(_BATTLE, "orders")}, m AS {_MEMBER_SQL}, s AS (SELECT battle_tag, 'team' AS side, upper(ltrim(team_tag, '#')) AS tag FROM b UNION ALL SELECT battle_tag, 'opponent', opponent_tag FROM b)
+SELECT battle_tag, side, tag, "rank" FROM s JOIN m USING (tag)
+""")
+def stream_members(spark, sf):
+    out, mark = fresh_dir(spark, "members"), fresh_dir(spark, "mark")
+    arriving = _select(_replayed(spark, sf, "orders", "o_orderkey"), _BATTLE).select(
+        "battle_tag", F.array("team_tag").alias("team_tags"), F.array("opponent_tag").alias("opponent_tags"))
+    ingest.log_into(ingest.member_battles(arriving, _members(spark, sf)), out, mark)
+    return spark.read.parquet(out).select("battle_tag", "side", "tag", "rank")
+
+
+@query("SELECT 'TAG' || c_custkey AS value FROM customer")
+def stream_seeds(spark, sf):
+    """Seed files as they arrive, comments skipped."""
+    path, out, mark = fresh_dir(spark, "seeds"), fresh_dir(spark, "seen"), fresh_dir(spark, "mark")
+    lines = load(spark, sf, "customer").selectExpr(
+        "explode(array(' TAG' || c_custkey || ' ', '// note', ';' || c_custkey, '')) AS value")
+    lines.write.text(path)
+    ingest.log_into(ingest.seed_stream(spark, path), out, mark)
+    return spark.read.parquet(out).select("value")
+
+
