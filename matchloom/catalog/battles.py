@@ -16,9 +16,10 @@ from matchloom.session import load
 
 
 def _pages(spark, sf, mirrored=False):
-    # Rendering is spread over the session's tasks however few files the input has.
-    orders = load(spark, sf, "orders")
-    return R.list_pages(orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey"), mirrored)
+    # Few input bytes become many page bytes: spread them over the session's tasks, in a
+    # number adaptive execution leaves alone.
+    tasks = spark.sparkContext.defaultParallelism
+    return R.list_pages(load(spark, sf, "orders"), mirrored).repartition(tasks, "page_no")
 
 
 def _payloads(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,3 +32,15 @@ def differs(a: Column, b: Column) -> Column:
 
 def same_set(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_distinct(a)) == F.array_sort(F.array_distinct(b))
+
+
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    A filter on a derived column moves below the projection and takes a copy of the
+    expression along; for parsed pages that means parsing several times. The columns are
+    passed through a one-element generator, which filters on them do not cross.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.explode_outer(F.array(packed)).alias("_once")).select(*kept, "_once.*")

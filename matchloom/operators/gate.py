@@ -15,7 +15,7 @@ from matchloom import values as V
 from matchloom.functions import coords as C
 from matchloom.functions import text as X
 from matchloom.functions import times as T
-from matchloom.functions.expr import differs, is_true, let, present, reasons, same_set
+from matchloom.functions.expr import differs, is_true, let, once, present, reasons, same_set
 from matchloom.operators.replays import side_of
 
 SIDES = ("team", "opponent")
@@ -41,7 +41,9 @@ class Contract:
 
 
 def _strings(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    """A constant array, folded from one literal: allow-lists run to hundreds of entries."""
+    values = list(values)
+    return F.split(F.lit("\n".join(values)), "\n") if values else F.array().cast("array<string>")
 
 
 def _player(rounds: Column, side: str) -> Column:
@@ -171,7 +173,7 @@ def merge(replays: DataFrame, metadata: DataFrame) -> DataFrame:
         )
 
     both = F.col("team_deck").isNotNull() & F.col("opponent_deck").isNotNull()
-    return joined.withColumns({
+    return once(joined, {
         "card_plays": with_forms(F.col("card_plays")),
         "deck_validation": F.when(both, F.struct(*validation("team"), *validation("opponent"))),
     })
@@ -510,14 +512,14 @@ def evaluate(documents: DataFrame, contract: Contract | None, min_timestamp: int
             "terminal": _terminal_tier(), "king_level": _king_tier(contract), "deck": _deck_tier(contract),
             "events": _events_tier(contract),
         }
-    staged, verdict = documents, None
     accepted = F.struct(F.lit(True).alias("accepted"), F.lit(V.ACCEPT_TIER).alias("tier"), _strings([]).alias("reasons"))
-    # A later tier is looked at only where the earlier ones found nothing.
-    clean = F.lit(True)
-    for tier, found in tiers.items():
-        name = f"_{tier}"
-        staged = staged.withColumn(name, F.when(clean, found).otherwise(_strings([])))
-        clean = clean & (F.size(name) == 0)
-        failed = F.struct(F.lit(False).alias("accepted"), F.lit(tier).alias("tier"), F.col(name).alias("reasons"))
-        verdict = F.when(F.size(name) > 0, failed) if verdict is None else verdict.when(F.size(name) > 0, failed)
-    return staged.withColumn("eligibility", verdict.otherwise(accepted)).drop(*[f"_{t}" for t in tiers])
+
+    def judge(left: list[tuple[str, Column]]) -> Column:
+        """A later tier is looked at only where the earlier ones found nothing."""
+        if not left:
+            return accepted
+        (tier, found), *later = left
+        failed = lambda r: F.struct(F.lit(False).alias("accepted"), F.lit(tier).alias("tier"), r.alias("reasons"))
+        return let(found, lambda r: F.when(F.size(r) > 0, failed(r)).otherwise(judge(later)))
+
+    return once(documents, {"eligibility": judge(list(tiers.items()))})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchloom import values as V
 from matchloom.functions import text as X
-from matchloom.functions.expr import let
+from matchloom.functions.expr import let, once
 from matchloom.functions import times as T
 from matchloom.functions import urls as U
 from matchloom.operators import markup, select
@@ -252,7 +252,7 @@ def battles(pages: DataFrame, base: str) -> DataFrame:
     """Battles of list pages (``url``, ``body``, any further columns) with metadata."""
     raw = raw_battles(pages)
     kept = [c for c in raw.columns if c not in ("item", "bare")]
-    parsed = raw.withColumn("i", F.from_json("item", _ITEM))
+    parsed = once(raw, {"i": F.from_json("item", _ITEM)})
     is_bare = F.col("bare").isNotNull()
 
     def button(name: str) -> Column:
@@ -296,7 +296,7 @@ def battles(pages: DataFrame, base: str) -> DataFrame:
     )
     empty = F.array().cast(_ROUNDS)
     rounds = F.coalesce(_rounds(F.col("i.rounds"), F.col("team_tags"), F.col("opponent_tags")), _rounds(empty, none, none))
-    with_rounds = step.withColumn("rounds", rounds).drop("i")
+    with_rounds = once(step, {"rounds": rounds}).drop("i")
     flagged = with_rounds.withColumns({
         "version_timestamp": F.col("timestamp"),
         "version_timestamp_provenance": F.when(~F.col("bare_button"), F.lit(V.TIME_FROM_LIST)),

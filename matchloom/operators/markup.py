@@ -28,6 +28,7 @@ _TAG = re.compile(
     r"""<!--.*?-->|<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]+|"[^"]*"|'[^']*')*)>""", re.S)
 _RAW_TEXT = re.compile(r"(<(script|style)\b[^>]*>)(.*?)(?=</\2|\Z)", re.S | re.I)
 _CLASS = re.compile(r"""(?:^|\s)class="([^"&]*)["]""")
+_CARD_KEY = re.compile(r"""(?:^|\s)data-card-key="([^"&]*)["]""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -63,8 +64,16 @@ class _Node:
     def find(self, name, tag=None):
         return (n for n in self.walk() if (tag is None or n.tag == tag) and name in n.raw and name in n.classes)
 
+    def get(self, name, pattern):
+        """One attribute, without parsing the others when it is written plainly."""
+        plain = pattern.search(self.raw)
+        return plain[1] if plain else self.attrs.get(name)
+
     def text(self):
-        pieces = _TAG.sub("\0", self.page.body[self.start:self.stop]).split("\0")
+        inner = self.page.body[self.start:self.stop]
+        if "<" not in inner:
+            return unescape(inner).strip()
+        pieces = _TAG.sub("\0", inner).split("\0")
         return "".join(unescape(p).strip() for p in pieces)
 
 
@@ -110,7 +119,7 @@ def _first(nodes):
 def _deck(node, player, tower):
     cards, labels = [], {}
     for image in node.find("deck_card", tag="img"):
-        slug = image.attrs.get("data-card-key")
+        slug = image.get("data-card-key", _CARD_KEY)
         if slug:
             cards.append(slug)
             holder = image.parent.parent
@@ -132,7 +141,7 @@ def _round(segment):
         image for box in segment.find("deck_tower_card__container")
         for image in box.find("deck_card", tag="img")
     ]
-    decks = [n for n in segment.walk() if n.tag == "div" and n.attrs.get("id", "").startswith("deck_")]
+    decks = [n for n in segment.walk() if n.tag == "div" and "deck_" in n.raw and n.attrs.get("id", "").startswith("deck_")]
     links = [
         a.attrs.get("href", "") for a in segment.find("player_name_header", tag="a")
         if _PLAYER_PAGE.search(a.attrs.get("href", ""))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchloom import values as V
 from matchloom.functions import coords as C
 from matchloom.functions import text as X
-from matchloom.functions.expr import let
+from matchloom.functions.expr import let, once
 
 _MARKER = r'<div class="(?:blue|red) marker"[^>]*>'
 _TABLE = r"(?s)<table[^>]*replay_elixir_table[^>]*>.*?</table>"
@@ -27,7 +27,7 @@ def payload_text(body: Column) -> Column:
 def unwrap(payloads: DataFrame) -> DataFrame:
     """Adds ``html`` and ``outcome`` (ok, not_json, refused, login_required,
     replay_not_found, not_object) to rows with a ``body``."""
-    parsed = payloads.withColumn("_j", F.try_parse_json(payload_text(F.col("body"))))
+    parsed = once(payloads, {"_j": F.try_parse_json(payload_text(F.col("body")))})
     is_object = F.schema_of_variant("_j").startswith("OBJECT")
     html = F.try_variant_get("_j", "$.html", "string")
     refused = F.try_variant_get("_j", "$.success", "boolean") == F.lit(False)
@@ -40,7 +40,7 @@ def unwrap(payloads: DataFrame) -> DataFrame:
         .when(low.contains("replay not found"), F.lit("replay_not_found"))
         .otherwise(F.lit("ok"))
     )
-    return parsed.withColumn("html", html).withColumn("outcome", outcome).drop("_j", "body")
+    return once(once(parsed, {"html": html}), {"outcome": outcome}).drop("_j", "body")
 
 
 def _marker(tag: Column, index: Column) -> Column:
@@ -185,18 +185,19 @@ def _card_counts(plays: Column, side: str) -> Column:
 def parse(payloads: DataFrame) -> DataFrame:
     """Replay documents of unwrapped payloads; ``parse_error`` marks unusable ones."""
     tag = F.regexp_extract("html", r'class="battle_replay"\s+data-tag="([^"]+)"', 1)
-    staged = (
-        payloads.withColumn("replay_tag", F.when(tag != "", tag))
-        .withColumn("_markers", F.transform(F.regexp_extract_all("html", F.lit(_MARKER), F.lit(0)), _marker))
-        .withColumn("_tables", F.transform(F.regexp_extract_all("html", F.lit(_TABLE), F.lit(0)), _table_rows))
-        .withColumn("duration_seconds", duration_seconds(F.col("html")))
-    )
-    split = staged.withColumns({
+    found = once(payloads, {
+        "_markers": F.transform(F.regexp_extract_all("html", F.lit(_MARKER), F.lit(0)), _marker),
+        "_tables": F.transform(F.regexp_extract_all("html", F.lit(_TABLE), F.lit(0)), _table_rows),
+        "replay_tag": F.when(tag != "", tag),
+        "duration_seconds": duration_seconds(F.col("html")),
+    })
+    split = once(found, {
         "card_plays": F.filter("_markers", lambda m: ~m["ability"]),
         "ability_plays": F.filter("_markers", lambda m: m["ability"]),
+        "parse_error": F.get(F.filter(F.transform("_markers", lambda m: m["error"]), lambda e: e.isNotNull()), F.lit(0)),
     })
-    placed = split.withColumn("_t", _assign_tables(
-        F.col("_tables"), F.size(side_of(F.col("card_plays"), "team")), F.size(side_of(F.col("card_plays"), "opponent"))))
+    placed = once(split, {"_t": _assign_tables(
+        F.col("_tables"), F.size(side_of(F.col("card_plays"), "team")), F.size(side_of(F.col("card_plays"), "opponent")))})
     none = F.array().cast("array<struct<title:string,count:int,elixir:double>>")
     return placed.select(
         *[c for c in payloads.columns if c != "html"],
@@ -210,7 +211,7 @@ def parse(payloads: DataFrame) -> DataFrame:
             _card_counts(F.col("card_plays"), "opponent").alias("opponent"),
         ).alias("card_counts"),
         C.orientation_contract().alias("orientation_contract"),
-        F.get(F.filter(F.transform("_markers", lambda m: m["error"]), lambda e: e.isNotNull()), F.lit(0)).alias("parse_error"),
+        "parse_error",
     )
 
 
@@ -220,7 +221,8 @@ def events(replays: DataFrame, *keys: str) -> DataFrame:
         F.transform("card_plays", lambda e: F.struct(F.lit("play").alias("event_kind"), e.alias("e"))),
         F.transform("ability_plays", lambda e: F.struct(F.lit("ability").alias("event_kind"), e.alias("e"))),
     )
-    return replays.select(*keys, F.explode(kinds).alias("_k")).select(*keys, "_k.event_kind", "_k.e.*").drop("ability", "error")
+    exploded = once(replays.select(*keys, "card_plays", "ability_plays"), {"_kinds": kinds}).select(*keys, F.explode("_kinds").alias("_k"))
+    return exploded.select(*keys, "_k.event_kind", "_k.e.*").drop("ability", "error")
 
 
 def upgrade_legacy(replays: DataFrame) -> DataFrame:
@@ -264,7 +266,8 @@ def upgrade_legacy(replays: DataFrame) -> DataFrame:
                F.lit("source_schema_not_exact"))
         .when(F.col("card_plays").isNull() | F.col("ability_plays").isNull(), F.lit("exact_event_arrays_missing"))
     )
-    staged = replays.withColumnRenamed("schema_version", "source_schema_version").withColumn("_refused", error).withColumns({
+    staged = once(replays.withColumnRenamed("schema_version", "source_schema_version"), {
+        "_refused": error,
         "card_plays": F.transform("card_plays", lambda e: rederive(e, False)),
         "ability_plays": F.transform("ability_plays", lambda e: rederive(e, True)),
     })

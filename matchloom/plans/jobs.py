@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchloom.functions import keys as K
 from matchloom.functions import times as T
 from matchloom.functions import urls as U
-from matchloom.functions.expr import is_true
+from matchloom.functions.expr import is_true, once
 from matchloom.operators import (
     admission, cohort, counts, frontier, gate, list_pages, predicates, replays, revisit, select, setops, upgrade, upsert,
 )
@@ -65,10 +65,10 @@ def admit(
     usable = documents.filter(F.col("outcome") == "ok")
     if contract is None:
         merged = gate.merge(usable, metadata)
-        checked = merged.withColumn("reason", gate.first_error(F.col("battle_tag")))
+        checked = once(merged, {"reason": gate.first_error(F.col("battle_tag"))})
         return checked.withColumn("decision", gate.ordinary_outcome(F.col("reason"), False))
     merged = gate.stamp(gate.merge(usable, metadata), contract)
-    checked = merged.withColumn("_error", gate.first_error(F.col("battle_tag")))
+    checked = once(merged, {"_error": gate.first_error(F.col("battle_tag"))})
     judged = gate.evaluate(checked, contract, min_timestamp)
     return judged.withColumns({
         "decision": F.when(F.col("_error").isNotNull(), gate.ordinary_outcome(F.col("_error"), True))
