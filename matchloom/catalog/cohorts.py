@@ -180,14 +180,15 @@ def profile_best(spark, sf):
 @query(f"""
 WITH {_PROFILE_SQL},
 b AS (SELECT c_custkey, max(s) AS rank_season, arg_max(r, s) AS r FROM p WHERE s <= '2024-08' AND r BETWEEN 1 AND 10000 GROUP BY c_custkey),
-e AS (SELECT (c_custkey // 100) * 1000000 + (c_custkey % 100) // 3 AS seq, 'TAG' || c_custkey AS tag, c_custkey + 1 AS r, '2024-08' AS rank_season FROM customer WHERE c_custkey % 3 = 0
+e AS (SELECT (c_custkey // 100) * 1000000 + row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS seq, 'TAG' || c_custkey AS tag, c_custkey + 1 AS r, '2024-08' AS rank_season
+  FROM customer WHERE c_acctbal > 6000
   UNION ALL SELECT c_custkey + 1152921504606846976, 'TAG' || c_custkey, r, rank_season FROM b),
 f AS (SELECT tag, min(seq) AS seq, arg_min(r, seq) AS "rank", arg_min(rank_season, seq) AS rank_season FROM e WHERE r BETWEEN 1 AND 10000 GROUP BY tag)
 SELECT tag, "rank", rank_season FROM f ORDER BY seq LIMIT (SELECT count(*) // 2 FROM customer)
 """)
 def cohort_build(spark, sf):
     people = load(spark, sf, "customer")
-    boards = R.board_pages(people.filter("c_custkey % 3 = 0"), "2024-08")
+    boards = R.board_pages(people.filter("c_acctbal > 6000"), "2024-08")
     return jobs.build_cohort(boards, R.profile_pages(people), "2024-08", people.count() // 2, True).select("tag", "rank", "rank_season")
 
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from matchloom import rendering as R
 from matchloom import values as V
 from matchloom.catalog.battles import _OUTCOME, _T1, _T2, _battles, _pages, _payloads
-from matchloom.catalog.derived import AUTHORITATIVE, FACTS_SQL, NORMAL
+from matchloom.catalog import derived as D
+from matchloom.catalog.derived import AUTHORITATIVE, COMPLETE, DECISION_SQL, FACTS_SQL, NORMAL
 from matchloom.catalog.registry import query
 from matchloom.functions import text as X
-from matchloom.operators import frontier, gate, upgrade
+from matchloom.operators import frontier, gate, upgrade, upsert
 from matchloom.plans import jobs
 from matchloom.session import fresh_dir, load, materialize
 from matchloom.sources import sinks
@@ -162,6 +163,42 @@ def band_promotion(spark, sf):
     return frontier.apply_discovery(held, seen.withColumn("discovery_band", F.lit(0)))[1].select("dedup_key", "discovery_band")
 
 
+@query(f"""
+WITH f AS (SELECT *, page_no % 2 = 0 AS held FROM {FACTS_SQL}) SELECT tag AS battle_tag, CASE WHEN held AND {COMPLETE} THEN 'held' ELSE 'found' END AS origin FROM f WHERE held OR NOT bare
+""")
+def recovered_metadata(spark, sf):
+    """Half of the battles have stored metadata; what is missing or incomplete is read
+    again from the source page, as long as it is the same perspective."""
+    seen = _metadata(spark, sf).withColumn("seq", F.col("page_no") * 100 + F.col("position"))
+    stored = seen.filter("page_no % 2 = 0").withColumn("origin", F.lit("held"))
+    again = seen.filter("NOT bare_button OR page_no % 2 = 0").withColumn("origin", F.lit("found"))
+    tasks = seen.select("battle_tag", F.col("source_list_url").alias("source_url"))
+    return jobs.recover_metadata(tasks, stored, again).select("battle_tag", "origin")
+
+
+@query(f"""
+SELECT b.battle_tag FROM (SELECT DISTINCT 'U' || user_id AS battle_tag FROM events) b
+WHERE battle_tag NOT IN (SELECT battle_tag FROM {DECISION_SQL} GROUP BY battle_tag HAVING bool_or(status = 'accepted') OR arg_max(status, seq) = 'rejected')
+""")
+def open_metadata(spark, sf):
+    current = upsert.decisions(D.decision_log(spark, sf))
+    rows = load(spark, sf, "events").selectExpr("'U' || user_id AS battle_tag").distinct()
+    return upsert.of_open_battles(rows, current)
+
+
+@query("""
+WITH p AS (SELECT c_custkey // 100 AS seq, 'TAG' || c_custkey AS tag FROM customer), e AS (SELECT seq, count(*) > 99 AS bad FROM p GROUP BY seq),
+k AS (SELECT DISTINCT 'TAG' || o_custkey AS tag FROM orders WHERE o_totalprice > 350000)
+SELECT seq, NOT bad AS ok, CASE WHEN bad THEN 0 ELSE (SELECT count(*) FROM p WHERE p.seq = e.seq AND p.tag NOT IN (SELECT tag FROM k)) END AS new_count, CASE WHEN bad THEN 'too_many_players' END AS error FROM e
+""")
+def source_visits(spark, sf):
+    """Source pages folded into the visit log; pages with too many players fail whole."""
+    pages = R.board_pages(load(spark, sf, "customer"), "2024-08")
+    known = load(spark, sf, "orders").filter("o_totalprice > 350000").selectExpr("'player:TAG' || o_custkey AS dedup_key")
+    held = load(spark, sf, "nation").selectExpr("'/players/' || n_nationkey AS url")
+    return jobs.refresh_sources(pages, held, known, R.BASE, 1000, 99, 30)["visits"].select("seq", "ok", "new_count", "error")
+
+
 # -- upgrades ---------------------------------------------------------------------------
 
 

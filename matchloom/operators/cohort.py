@@ -75,7 +75,7 @@ def source_page(pages: DataFrame, base: str, links: Column, max_players: int, ma
     hrefs = F.regexp_extract_all("body", F.lit(r'<a\b[^>]*\bhref="([^"]*)"'), F.lit(1))
     boards = F.filter(
         F.transform(hrefs, lambda h: U.source_url(h, base)),
-        lambda u: is_true(U.path(u).rlike("^/players/leaderboard/[a-z]{2}$")),
+        lambda u: is_true(U.path(u).rlike(V.BOARD_PATH)),
     )
     staged = pages.withColumns({"tags": tags, "_boards": F.array_distinct(boards)})
     return staged.select(
@@ -87,7 +87,7 @@ def source_page(pages: DataFrame, base: str, links: Column, max_players: int, ma
 
 
 def country_codes(body: Column) -> Column:
-    found = F.regexp_extract_all(body, F.lit('href="/players/leaderboard/([a-z]{2})"'), F.lit(1))
+    found = F.regexp_extract_all(body, F.lit(V.COUNTRY_BOARD), F.lit(1))
     return F.array_sort(F.array_distinct(found))
 
 

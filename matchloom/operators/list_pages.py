@@ -21,7 +21,6 @@ _ITEM = (
     "block map<string,string>, mode string, popup string, hp map<string,string>, "
     f"button map<string,string>, matchup map<string,string>, rounds {_ROUNDS}"
 )
-_BUTTON = r"<button[^>]*\breplay_button\b[^>]*>"
 
 
 def unique_captures(pages: DataFrame, seq: str = "seq") -> DataFrame:
@@ -84,8 +83,8 @@ def _deck_record(deck: Column) -> Column:
     number = lambda label: F.regexp_extract(label, "([0-9]+)", 1).try_cast("int")
     parsed = F.map_filter(
         F.transform_values(deck["labels"], lambda _, v: number(v)), lambda _, v: v.isNotNull())
-    tower = F.regexp_extract(F.coalesce(deck["tower_class"], F.lit("")), r"(?:^|\s)deck_card_key_(\S*)", 1)
-    tower_level = F.regexp_extract(F.coalesce(deck["tower_label"], F.lit("")), r"Lvl\s*([0-9]+)\b", 1)
+    tower = F.regexp_extract(F.coalesce(deck["tower_class"], F.lit("")), V.TOWER_CLASS, 1)
+    tower_level = F.regexp_extract(F.coalesce(deck["tower_label"], F.lit("")), V.LEVEL_LABEL, 1)
 
     def record(levels: Column) -> Column:
         deck_cards = F.transform(
@@ -103,7 +102,7 @@ def _deck_record(deck: Column) -> Column:
             & (F.size(levels) == V.DECK_SIZE)
         )
         return F.struct(
-            F.regexp_extract(F.coalesce(deck["player_link"], F.lit("")), "/player/([^/]+)/battles", 1).alias("player_tag"),
+            F.regexp_extract(F.coalesce(deck["player_link"], F.lit("")), V.PLAYER_PAGE, 1).alias("player_tag"),
             slugs.alias("full_deck"), deck_cards.alias("deck_cards"),
             F.when(tower != "", tower).alias("tower_troop"),
             tower_level.try_cast("int").alias("tower_troop_level"),
@@ -224,7 +223,7 @@ def raw_battles(pages: DataFrame) -> DataFrame:
         ),
     )
     bare = F.transform(
-        F.regexp_extract_all("body", F.lit(_BUTTON), F.lit(0)),
+        F.regexp_extract_all("body", F.lit(V.REPLAY_BUTTON), F.lit(0)),
         lambda b: F.struct(
             X.attribute(b, "data-replay").alias("tag"), F.lit(None).cast("string").alias("item"), b.alias("bare"),
         ),
@@ -326,7 +325,7 @@ def battles(pages: DataFrame, base: str) -> DataFrame:
 def player_tags(body: Column) -> Column:
     """Players named by replay buttons, in page order, each once."""
     named = F.transform(
-        F.regexp_extract_all(body, F.lit(_BUTTON), F.lit(0)),
+        F.regexp_extract_all(body, F.lit(V.REPLAY_BUTTON), F.lit(0)),
         lambda b: F.concat(
             F.split(X.attribute(b, "data-team-tags"), ","), F.split(X.attribute(b, "data-opponent-tags"), ",")
         ),
@@ -336,9 +335,8 @@ def player_tags(body: Column) -> Column:
 
 def player_links(body: Column) -> Column:
     """Players linked from a board, then those of embedded ranking rows."""
-    links = F.regexp_extract_all(body, F.lit('href="/player/([A-Za-z0-9]{3,})"'), F.lit(1))
-    rows = F.regexp_extract_all(
-        body, F.lit(r'"rank"\s*:\s*"?[0-9]+"?\s*,\s*"tag"\s*:\s*"([A-Za-z0-9]{3,})"'), F.lit(1))
+    links = F.regexp_extract_all(body, F.lit(V.PLAYER_HREF), F.lit(1))
+    rows = F.regexp_extract_all(body, F.lit(V.RANKING_ROW), F.lit(1))
     return F.array_distinct(F.concat(links, rows))
 
 

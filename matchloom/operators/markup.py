@@ -17,10 +17,12 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from matchloom import values as V
+
 # Ship this module with the tasks: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_PLAYER_PAGE = re.compile("/player/[^/]+/battles")
+_PLAYER_PAGE = re.compile(V.PLAYER_PAGE)
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -190,7 +192,7 @@ def _profile(body: str) -> str:
     })
 
 
-_ROSTER_CALL = re.compile(r"initRoster\(\s*\$\(['\"]#roster['\"]\)\s*,\s*")
+_ROSTER_CALL = re.compile(V.ROSTER_CALL)
 
 
 def _board(body: str) -> str:

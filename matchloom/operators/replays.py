@@ -10,9 +10,6 @@ from matchloom.functions import coords as C
 from matchloom.functions import text as X
 from matchloom.functions.expr import let, once
 
-_MARKER = r'<div class="(?:blue|red) marker"[^>]*>'
-_TABLE = r"(?s)<table[^>]*replay_elixir_table[^>]*>.*?</table>"
-
 
 def payload_text(body: Column) -> Column:
     """JSON text of a response that may be wrapped in markup."""
@@ -51,7 +48,7 @@ def _marker(tag: Column, index: Column) -> Column:
     return let(
         F.struct(
             index.cast("int").alias("marker_index"),
-            F.regexp_extract(tag, 'class="(blue|red) marker"', 1).alias("color"),
+            F.regexp_extract(tag, V.MARKER_COLOR, 1).alias("color"),
             raw("data-c").alias("card"), raw("data-x").alias("xs"), raw("data-y").alias("ys"),
             raw("data-t").alias("ts"), raw("data-s").alias("ss"), raw("data-i").alias("orientation"),
         ),
@@ -106,14 +103,14 @@ def _event(m: Column, v: Column, o: Column) -> Column:
 
 def _table_rows(table: Column) -> Column:
     def row(tr: Column) -> Column:
-        elixir = F.regexp_extract(tr, r'class="[^"]*elixir[^"]*"[^>]*>\s*([0-9.]*)\s*<', 1)
+        elixir = F.regexp_extract(tr, V.ROW_ELIXIR, 1)
         return F.struct(
-            F.btrim(F.regexp_extract(tr, r'class="title">\s*([^<]+)', 1)).alias("title"),
-            X.digits_to_int(F.regexp_extract(tr, r'class="[^"]*count[^"]*">\s*([0-9]+)', 1)).alias("count"),
+            F.btrim(F.regexp_extract(tr, V.ROW_TITLE, 1)).alias("title"),
+            X.digits_to_int(F.regexp_extract(tr, V.ROW_COUNT, 1)).alias("count"),
             F.when(elixir != "", elixir).try_cast("double").alias("elixir"),
         )
 
-    rows = F.transform(F.regexp_extract_all(table, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1)), row)
+    rows = F.transform(F.regexp_extract_all(table, F.lit(V.TABLE_ROW), F.lit(1)), row)
     return F.filter(rows, lambda r: r["title"] != "")
 
 
@@ -165,8 +162,8 @@ def _seconds(clock: Column) -> Column:
 
 def duration_seconds(html: Column) -> Column:
     """The timeline's end mark; only pages without one fall back to the latest clock."""
-    end = F.regexp_extract(html, r'class="[^"]*marker[^"]*\bend_time\b[^"]*"[^>]*>\s*([0-9]+:[0-9]{2})', 1)
-    clocks = F.regexp_extract_all(html, F.lit(r"([0-9]+:[0-9]{2})"), F.lit(1))
+    end = F.regexp_extract(html, V.END_MARK, 1)
+    clocks = F.regexp_extract_all(html, F.lit(V.CLOCK), F.lit(1))
     return F.when(end != "", _seconds(end)).otherwise(F.array_max(F.transform(clocks, _seconds)))
 
 
@@ -184,10 +181,10 @@ def _card_counts(plays: Column, side: str) -> Column:
 
 def parse(payloads: DataFrame) -> DataFrame:
     """Replay documents of unwrapped payloads; ``parse_error`` marks unusable ones."""
-    tag = F.regexp_extract("html", r'class="battle_replay"\s+data-tag="([^"]+)"', 1)
+    tag = F.regexp_extract("html", V.REPLAY_TAG, 1)
     found = once(payloads, {
-        "_markers": F.transform(F.regexp_extract_all("html", F.lit(_MARKER), F.lit(0)), _marker),
-        "_tables": F.transform(F.regexp_extract_all("html", F.lit(_TABLE), F.lit(0)), _table_rows),
+        "_markers": F.transform(F.regexp_extract_all("html", F.lit(V.MARKER), F.lit(0)), _marker),
+        "_tables": F.transform(F.regexp_extract_all("html", F.lit(V.ELIXIR_TABLE), F.lit(0)), _table_rows),
         "replay_tag": F.when(tag != "", tag),
         "duration_seconds": duration_seconds(F.col("html")),
     })

@@ -129,6 +129,39 @@ def expand(
     }
 
 
+def recover_metadata(tasks: DataFrame, metadata: DataFrame, battles: DataFrame, flag: str = "complete") -> DataFrame:
+    """Metadata of waiting battles, looked up again on their source page where it is
+    missing or not ``flag``. Found rows pass the usual upsert, so nothing is downgraded."""
+    held = metadata.filter(F.col(flag)).select("battle_tag")
+    lacking = tasks.select("battle_tag", F.col("source_url").alias("url")).join(held, "battle_tag", "left_anti")
+    found = battles.join(lacking.distinct(), ["url", "battle_tag"], "left_semi")
+    return upsert.merge_snapshot(metadata, found)
+
+
+def refresh_sources(
+    pages: DataFrame, sources: DataFrame, known_players: DataFrame, base: str, at: int,
+    max_players: int, max_sources: int, epoch: str | None = None,
+) -> dict[str, DataFrame]:
+    """Captured source pages to new player tasks, new source boards, and visit-log rows
+    (see ``revisit.visit_state``). An unusable page yields a failed visit, nothing else."""
+    parsed = materialize(
+        cohort.source_page(pages, base, list_pages.player_links(F.col("body")), max_players, max_sources), "sources")
+    good = parsed.filter("page_error IS NULL")
+    named = good.select("url", "seq", F.posexplode("tags").alias("position", "tag"))
+    tasks = select.insert_or_ignore(
+        known_players, named.withColumn("dedup_key", K.player_key(F.col("tag"), epoch)), ["dedup_key"], "seq", "position")
+    boards = good.select("seq", F.posexplode("source_urls").alias("position", "board")).select(
+        (F.col("seq") * max_sources + F.col("position")).alias("seq"), F.col("board").alias("url"))
+    credited = tasks.groupBy("url", "seq").agg(F.count(F.lit(1)).alias("new_count"))
+    visits = parsed.join(credited, ["url", "seq"], "left").select(
+        "url", "seq", F.lit(at).cast("bigint").alias("at"), F.col("page_error").isNull().alias("ok"),
+        F.coalesce("new_count", F.lit(0)).cast("bigint").alias("new_count"), F.col("page_error").alias("error"), "html_sha256")
+    return {
+        "players": tasks.withColumn("task_url", U.list_url(F.col("tag"), base)),
+        "sources": revisit.register_sources(sources, boards, max_sources), "visits": visits,
+    }
+
+
 def dispatch(tasks: DataFrame, now, limit: int, ready_limit: int, list_limit: int, cursor: int = 0) -> DataFrame:
     """The next batch under quotas: ``slot`` orders it. The batch is at most ``limit``
     rows, so the ordering windows below see no more than that."""
