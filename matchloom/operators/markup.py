@@ -10,7 +10,9 @@ from __future__ import annotations
 import json
 import re
 import sys
+from bisect import bisect_right
 from html import unescape
+from operator import attrgetter
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -34,16 +36,19 @@ _CARD_KEY = re.compile(r"""(?:^|\s)data-card-key="([^"&]*)["]""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
+_index = attrgetter("index")
+
+
 class _Node:
     """An element, as offsets into the body; its descendants are a slice of the page."""
 
-    __slots__ = ("page", "tag", "raw", "parent", "index", "last", "start", "stop", "_attrs", "_classes")
+    __slots__ = ("page", "tag", "raw", "parent", "index", "last", "start", "stop", "_attrs")
 
     def __init__(self, page, tag, raw, parent, start):
         self.page, self.tag, self.raw, self.parent = page, tag, raw, parent
         self.index = self.last = len(page.nodes)
         self.start = self.stop = start
-        self._attrs = self._classes = None
+        self._attrs = None
 
     @property
     def attrs(self):
@@ -53,18 +58,15 @@ class _Node:
                 self._attrs.setdefault(name.lower(), unescape("".join(values)))
         return self._attrs
 
-    @property
-    def classes(self):
-        if self._classes is None:
-            plain = _CLASS.search(self.raw)
-            self._classes = (plain[1] if plain else self.attrs.get("class", "")).split()
-        return self._classes
-
     def walk(self):
         return self.page.nodes[self.index + 1:self.last + 1]
 
     def find(self, name, tag=None):
-        return (n for n in self.walk() if (tag is None or n.tag == tag) and name in n.raw and name in n.classes)
+        """Descendants of a class, in page order."""
+        nodes = self.page.by_class.get(name, ())
+        low = bisect_right(nodes, self.index, key=_index)
+        high = bisect_right(nodes, self.last, lo=low, key=_index)
+        return (n for n in nodes[low:high] if tag is None or n.tag == tag)
 
     def get(self, name, pattern):
         """One attribute, without parsing the others when it is written plainly."""
@@ -82,7 +84,7 @@ class _Node:
 class _Page:
     def __init__(self, body):
         # Script and style text is no markup; blank it out for the tag scan only.
-        self.body, self.nodes = body, []
+        self.body, self.nodes, self.by_class = body, [], {}
         scanned = body
         if "<script" in body or "<style" in body:
             scanned = _RAW_TEXT.sub(lambda m: m[1] + " " * len(m[3]), body)
@@ -98,6 +100,9 @@ class _Page:
             if not closing:
                 node = _Node(self, tag, raw, open_nodes[-1], m.end())
                 self.nodes.append(node)
+                if "class" in raw or "CLASS" in raw:
+                    for name in set((node.get("class", _CLASS) or "").split()):
+                        self.by_class.setdefault(name, []).append(node)
                 if tag not in _VOID and not raw.endswith("/"):
                     open_nodes.append(node)
             elif open_nodes[-1].tag == tag or any(n.tag == tag for n in open_nodes):

@@ -55,7 +55,7 @@ def latency_average(log: DataFrame, lane: str = "lane", seq: str = "seq", alpha:
     log = log.filter(F.col("latency_s").isNotNull())
     seeds = log.groupBy(lane).agg(F.min(F.when(F.col("latency_s") != 0, F.col(seq))).alias("_seed"))
     started = log.join(seeds, lane).filter(F.col("_seed").isNull() | (F.col(seq) >= F.col("_seed")))
-    pieces = ordered.with_piece(started, seq, span)
+    pieces = ordered.with_piece(started, [lane], seq, span)
     backwards = Window.partitionBy(lane, ordered.PIECE).orderBy(F.col(seq).desc())
     # Weight of a sample within its piece; the seed itself enters undamped.
     steps = pieces.withColumn("_later", F.row_number().over(backwards) - 1)
