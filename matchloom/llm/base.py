@@ -10,7 +10,9 @@ import re
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,10 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_PATTERN)
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+PIECE = 4 << 20  # bytes of text that a Python function gets at once
 FOLD = str.maketrans(UPPER, LOWER)
+#: The same for UTF-8; ``bytes.split()`` then gives the words.
+BYTE_FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 def ships(name: str) -> None:
@@ -56,8 +61,21 @@ def map_batches(df: DataFrame, make: Callable[[dict[str, list]], dict[str, list]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = make({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_arrays([pa.array(made[n], type=t) for n, t in zip(names, types)], names=names)
+            for part in pieces(batch):
+                made = make({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
+                yield pa.RecordBatch.from_arrays([pa.array(made[n], type=t) for n, t in zip(names, types)], names=names)
 
     return df.mapInArrow(run, schema)
 
+
+def pieces(batch: pa.RecordBatch, size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text: what is made of a slice fits in memory
+    whatever the length of the texts."""
+    weight = np.ones(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            weight += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    cut = np.flatnonzero(np.diff(np.cumsum(weight) // size)) + 1
+    for a, b in zip([0, *cut], [*cut, batch.num_rows]):
+        if b > a:
+            yield batch.slice(a, b - a)

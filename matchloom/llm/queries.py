@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchloom.llm import trigrams
+from matchloom.llm import gray_index, quality_trees, toxic_spans, trigrams
+from matchloom.llm.base import remainder
 from matchloom.session import load
 
 QUERIES = {}
@@ -37,6 +38,30 @@ def _digests(found, kinds: list[str]):
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(spans).alias("spans"))
 
 
+@query
+def op1_quality_trees(spark, sf):
+    docs = load(spark, sf, "documents")
+    trees = quality_trees.train(docs, load(spark, sf, "labels"), remainder(3) != 1)
+    return quality_trees.score(docs, trees).select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_trigram_secrets(spark, sf):
     return _digests(trigrams.scan(load(spark, sf, "documents")), [k for k, _, _ in trigrams.BASE_RULES])
+
+
+@query
+def op8_toxic_field(spark, sf):
+    docs = load(spark, sf, "documents")
+    field = toxic_spans.train(docs, load(spark, sf, "labels"), remainder(4) != 2)
+    return toxic_spans.score(docs, field).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+        .alias("spans"))
+
+
+@query
+def op9_gray_simhash(spark, sf):
+    return gray_index.near_duplicates(load(spark, sf, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
