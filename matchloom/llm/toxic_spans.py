@@ -33,7 +33,7 @@ BITS = 18
 BLOCK = 256
 MARK = 0.5
 #: Bound on the labelled documents the driver learns from.
-MAX_ROWS = 6_000
+MAX_ROWS = 4_000
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -61,62 +61,63 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, transitions: np.ndarray
     given, is filled with the expected number of neighbours with each pair of tags."""
     if not len(emission):
         return np.zeros(0)
-    a = np.exp(transitions - transitions.max())
-    blocks = np.maximum(1, -(-lengths // BLOCK)) * (lengths > 0)
-    total = int(blocks.sum())
-    text_of = np.repeat(np.arange(len(lengths)), blocks)
-    first = np.cumsum(blocks) - blocks
-    inside = np.arange(total) - first[text_of]
-    size = np.minimum(BLOCK, lengths[text_of] - inside * BLOCK)
-    start = (np.cumsum(lengths) - lengths)[text_of] + inside * BLOCK
-    spot = start[:, None] + np.arange(BLOCK)
-    real = np.arange(BLOCK) < size[:, None]
-    e = np.exp(np.clip(np.where(real, emission[np.minimum(spot, len(emission) - 1)], 0), -30, 30)).T.copy()
-    real = real.T.copy()
-    # Transfer of a block: what a tag before it becomes after it. Padding leaves things as they are.
-    m = np.tile(np.eye(2), (total, 1, 1))
-    for t in range(BLOCK):
-        step = (m.reshape(-1, 2) @ a).reshape(-1, 2, 2)
-        step[:, :, 1] *= e[t][:, None]
-        step /= step.sum(axis=(1, 2), keepdims=True)
-        m = np.where(real[t][:, None, None], step, m)
-    before, after = np.empty((total, 2)), np.empty((total, 2))
+    (a00, a01), (a10, a11) = np.exp(transitions - transitions.max())
+    blocks = -(-lengths // BLOCK)
+    text = np.repeat(np.arange(len(lengths)), blocks)
+    nth = np.arange(len(text)) - (np.cumsum(blocks) - blocks)[text]
+    size = np.minimum(BLOCK, lengths[text] - nth * BLOCK)
+    order = np.argsort(-size, kind="stable")  # at each step the blocks still running are the first ones
+    text, nth, size = text[order], nth[order], size[order]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    first = np.cumsum(blocks) - blocks  # of a text's blocks, in text order
+    start = (np.cumsum(lengths) - lengths)[text] + nth * BLOCK
+    running = np.searchsorted(-size, -np.arange(BLOCK), side="left")
+    odds = np.exp(np.clip(emission, -30, 30))
+    e = [odds[start[:k] + t] for t, k in enumerate(running)]
+    # What a block makes of the tag before it, as a matrix; only texts of several blocks need it.
+    m = [np.ones(len(order)), np.zeros(len(order)), np.zeros(len(order)), np.ones(len(order))]
     deepest = int(blocks.max())
-    now = np.full((len(lengths), 2), 0.5)
-    for k in range(deepest):  # over the blocks of a text, all texts at once
+    if deepest > 1:
+        for t, k in enumerate(running):
+            for x, y in ((0, 1), (2, 3)):
+                u, v = m[x][:k], m[y][:k]
+                m[x][:k], m[y][:k] = u * a00 + v * a10, (u * a01 + v * a11) * e[t]
+            if t % 8 == 7:
+                scale = 1 / (m[0][:k] + m[1][:k] + m[2][:k] + m[3][:k])
+                for x in m:
+                    x[:k] *= scale
+    before, after = np.ones(len(order)), np.ones(len(order))  # weight of tag 1 over that of tag 0
+    now = np.ones(len(lengths))
+    for k in range(deepest - 1):  # over the blocks of a text, all texts at once
+        ok = np.flatnonzero(blocks > k + 1)
+        at = place[first[ok] + k]
+        now[ok] = (m[1][at] + now[ok] * m[3][at]) / (m[0][at] + now[ok] * m[2][at])
+        before[place[first[ok] + k + 1]] = now[ok]
+    now = np.ones(len(lengths))
+    for k in range(deepest - 1, 0, -1):
         ok = np.flatnonzero(blocks > k)
-        at = first[ok] + k
-        before[at] = now[ok]
-        nxt = np.einsum("ni,nij->nj", now[ok], m[at])
-        now[ok] = nxt / nxt.sum(axis=1, keepdims=True)
-    now = np.full((len(lengths), 2), 0.5)
-    for k in range(deepest - 1, -1, -1):
-        ok = np.flatnonzero(blocks > k)
-        at = first[ok] + k
-        after[at] = now[ok]
-        nxt = np.einsum("nij,nj->ni", m[at], now[ok])
-        now[ok] = nxt / nxt.sum(axis=1, keepdims=True)
-    forward, opening = np.empty((BLOCK, total, 2)), before
-    for t in range(BLOCK):
-        step = before @ a
-        step[:, 1] *= e[t]
-        step /= step.sum(axis=1, keepdims=True)
-        before = np.where(real[t][:, None], step, before)
-        forward[t] = before
-    out = np.zeros((BLOCK, total))
+        at = place[first[ok] + k]
+        now[ok] = (m[2][at] + m[3][at] * now[ok]) / (m[0][at] + m[1][at] * now[ok])
+        after[place[first[ok] + k - 1]] = now[ok]
+    forward, r = [], before
+    for t, k in enumerate(running):
+        r = e[t] * (a01 + a11 * r[:k]) / (a00 + a10 * r[:k])
+        forward.append(r)
+    out = np.empty(len(emission))
     for t in range(BLOCK - 1, -1, -1):
-        both = forward[t] * after
-        out[t] = both[:, 1] / both.sum(axis=1)
-        step = after.copy()
-        step[:, 1] *= e[t]
+        k = running[t]
+        s = after[:k]
+        both = forward[t] * s
+        out[start[:k] + t] = both / (1 + both)
+        es = e[t] * s
         if pairs is not None:
-            joint = (forward[t - 1] if t else opening)[:, :, None] * a * step[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            pairs += joint[real[t] & ((inside > 0) | (t > 0))].sum(axis=0)
-        step = step @ a.T
-        step /= step.sum(axis=1, keepdims=True)
-        after = np.where(real[t][:, None], step, after)
-    return out.T[real.T]
+            q = forward[t - 1][:k] if t else before[:k]
+            some = slice(None) if t else nth[:k] > 0
+            w = np.stack([np.full(k, a00), a01 * es, q * a10, q * a11 * es])[:, some]
+            pairs += (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        after[:k] = (a10 + a11 * es) / (a00 + a01 * es)
+    return out
 
 
 class _Table:
@@ -148,7 +149,7 @@ def _summary(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(texts: list[str], y: np.ndarray, rounds: int = 40, rate: float = 0.5, sure: float = 4.0, least: int = 5) -> Field:
+def fit(texts: list[str], y: np.ndarray, rounds: int = 30, rate: float = 0.5, sure: float = 4.0, least: int = 5) -> Field:
     """The field and the document model from labelled texts."""
     zero = Field(np.zeros(1 << BITS), 0.0, np.zeros((2, 2)), np.zeros(4), float(y.mean()) if len(y) else 0.0)
     if not len(y) or y.min() == y.max():
