@@ -134,15 +134,11 @@ def linked(keys: np.ndarray, fps: np.ndarray, limit: int = LIMIT) -> np.ndarray:
             u, v = u[:CHUNK], v[:CHUNK]
         ones, zeros, low, high, child, end = levels[level]
         near = np.bitwise_count((ones[u] & zeros[v]) | (zeros[u] & ones[v])) <= limit
-        if level:
+        if level and len(u) > 1024:
             # A pair of groups that already form one component has nothing to add.
-            least, most = np.minimum.reduceat(label, low), np.maximum.reduceat(label, low)
-            if (high - low > 1).any() and len(u) > 1024:
-                bounds = np.c_[low, high].ravel()
-                padded = np.r_[label, 0]
-                least = np.minimum.reduceat(padded, bounds)[::2]
-                most = np.maximum.reduceat(padded, bounds)[::2]
-                near &= ~((least[u] == most[u]) & (least[v] == most[v]) & (least[u] == least[v]))
+            bounds, padded = np.c_[low, high].ravel(), np.r_[label, 0]
+            least, most = np.minimum.reduceat(padded, bounds)[::2], np.maximum.reduceat(padded, bounds)[::2]
+            near &= ~((least[u] == most[u]) & (least[v] == most[v]) & (least[u] == least[v]))
         u, v = u[near], v[near]
         if not level:
             label = _merge(label, u, v)
