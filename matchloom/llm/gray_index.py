@@ -24,9 +24,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from matchloom.llm.base import BYTE_FOLD, map_batches, pieces, ships
+from matchloom.llm.base import BYTE_FOLD, map_batches, ships
 from matchloom.llm.stars import components
 from matchloom.session import materialize
 
@@ -57,15 +56,18 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * ones > size, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """``doc_id``, ``fp`` and ``same`` (a hash of the text) of every row."""
     return map_batches(
-        docs.select("doc_id", "text"),
-        lambda c: {"doc_id": c["doc_id"], "fp": [fingerprint(t) for t in c["text"]],
-                   "same": [xxhash.xxh64_intdigest(t or "", 42) - (1 << 63) for t in c["text"]]},
+        docs.select("doc_id", "text", text_hash(docs["text"]).alias("same")),
+        lambda c: {"doc_id": c["doc_id"], "fp": [fingerprint(t, width) for t in c["text"]], "same": c["same"]},
         "doc_id bigint, fp bigint, same bigint")
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def gray_rank(fp: Column) -> Column:
     """Position in Gray order, as a signed number that sorts like the unsigned one."""
     for step in (1, 2, 4, 8, 16, 32):
@@ -200,31 +202,19 @@ def groups(prints: DataFrame) -> DataFrame:
         "fp", "root", F.coalesce("component_id", "least").alias("component_id"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     """``doc_id``, ``fp``, ``same``, ``root`` and ``component_id`` of every row."""
-    prints = materialize(fingerprints(docs), "prints")
+    prints = materialize(fingerprints(docs, width), "prints")
     return prints.join(groups(prints), "fp").select("doc_id", "fp", "same", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest ``doc_id`` stays
     (ties: the smallest hash of the text; of fully repeated rows one)."""
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, width)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")
-    stays = found.groupBy("root").agg(F.min(order).alias("_o")).select(F.col("_o.doc_id").alias("_id"), F.col("_o.same").alias("_same"))
-    marked = with_hash(docs)
-    kept = marked.join(stays.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_same")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_h"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def with_hash(docs: DataFrame) -> DataFrame:
-    """The documents and ``_h``, the hash of the text that ``same`` holds."""
-    at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_h", T.LongType())])
-
-    def run(batches):
-        for batch in (part for whole in batches for part in pieces(whole)):
-            h = [xxhash.xxh64_intdigest(t or "", 42) - (1 << 63) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h, pa.int64())], names=[*batch.schema.names, "_h"])
-
-    return docs.mapInArrow(run, schema)
+    stays = found.groupBy("root").agg(F.min(order).alias("_o")).select(F.col("_o.doc_id").alias("_kept_id"), F.col("_o.same").alias("_kept_same"))
+    stays = stays.distinct()
+    kept = docs.join(stays, docs["doc_id"].eqNullSafe(stays["_kept_id"]) & (text_hash(docs["text"]) == stays["_kept_same"]))
+    # Rows of one id and text are together already; one of them stays.
+    return kept.dropDuplicates(["_kept_id", "_kept_same"]).select(*[docs[c] for c in docs.columns])

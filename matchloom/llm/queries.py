@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchloom.llm import gray_index, quality_trees, toxic_spans, trigrams
+from matchloom.llm import class_lm, disclosure, gray_index, host_rules, mixing, quality_trees, spaced_seeds, toxic_spans, trigrams, winnow
 from matchloom.llm.base import remainder
 from matchloom.session import load
 
@@ -46,6 +46,32 @@ def op1_quality_trees(spark, sf):
         "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op2_host_rules(spark, sf):
+    return host_rules.judge(load(spark, sf, "documents")).withColumn("failed", F.array_join("failed", ","))
+
+
+@query
+def op3_disclosure(spark, sf):
+    return _digests(disclosure.sanitise(load(spark, sf, "documents")), disclosure.KINDS)
+
+
+@query
+def op4_winnowed_lines(spark, sf):
+    docs = winnow.dedup(load(spark, sf, "documents").select("doc_id", "text"), report=True)
+    return docs.select("doc_id", "cut", F.array_join(F.transform("removed", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("removed"), "text")
+
+
+TARGETS = {"good": 0.92, "poor": 0.05, "toxic": 0.03}
+
+
+@query
+def op5_soft_mixing(spark, sf):
+    mixed = mixing.mix(load(spark, sf, "documents"), mixing.domain_labels(load(spark, sf, "labels")), TARGETS)
+    return mixed.select("doc_id", "tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(TARGETS)], "rate")
+
+
 @query
 def op6_trigram_secrets(spark, sf):
     return _digests(trigrams.scan(load(spark, sf, "documents")), [k for k, _, _ in trigrams.BASE_RULES])
@@ -65,3 +91,17 @@ def op8_toxic_field(spark, sf):
 def op9_gray_simhash(spark, sf):
     return gray_index.near_duplicates(load(spark, sf, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_class_lm(spark, sf):
+    docs = load(spark, sf, "documents")
+    model, counts = class_lm.train(docs.filter(remainder(10) != 0))
+    return class_lm.score(docs, model, counts).select(
+        "doc_id", (remainder(10) == 0).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"),
+        "base_score", "score")
+
+
+@query
+def op7_spaced_seeds(spark, sf):
+    return spaced_seeds.overlaps(load(spark, sf, "documents"), load(spark, sf, "benchmark")).drop("h")
