@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchloom import rendering as R
+from matchloom.catalog import rendering as R
 from matchloom.catalog.derived import AUTHORITATIVE, COMPLETE, FACTS_SQL, NORMAL
 from matchloom.catalog.registry import query
 from matchloom.functions import times as T

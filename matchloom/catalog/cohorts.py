@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchloom import rendering as R
+from matchloom.catalog import rendering as R
 from matchloom.catalog import derived as D
 from matchloom.catalog.registry import query
 from matchloom.operators import cohort, list_pages, predicates, revisit, select, setops, upgrade

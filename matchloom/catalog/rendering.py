@@ -36,13 +36,13 @@ def _player(side: int, tag: str) -> str:
         label = f"CASE WHEN k % 10 = 3 AND j = 0 THEN '' ELSE {label} END"
     cards = (
         "array_join(transform(sequence(0, 7), j -> "
-        f"'<div class=\"four_wide\"><div><img class=\"deck_card\" data-card-key=\"' || {_slug(side, 'j')} || '\"></div>' || {label} || '</div>'), '')"
+        f"'<li><span><img class=\"deck_card\" data-card-key=\"' || {_slug(side, 'j')} || '\"></span>' || {label} || '</li>'), '')"
     )
     return (
-        f"'<div class=\"team-segment\"><a class=\"player_name_header\" href=\"{BASE}/player/' || {tag} || '/battles\">p</a>"
+        f"'<section><a class=\"player_name_header\" href=\"{BASE}/player/' || {tag} || '/battles\">p</a>"
         f"<div id=\"deck_' || {tag} || '\">' || {cards} || '</div>"
         "<div class=\"deck_tower_card__container\"><img class=\"deck_card deck_card_key_tower' || (k % 4) || '\">"
-        f"<div class=\"level\"><div>Tower</div><div>Lvl ' || (14 + (k + {side}) % 3) || '</div></div></div></div>'"
+        f"<div class=\"level\"><div>Tower</div><div>Lvl ' || (14 + (k + {side}) % 3) || '</div></div></div></section>'"
     )
 
 
@@ -175,7 +175,7 @@ def replay_payloads(orders: DataFrame) -> DataFrame:
     html = (
         "'<div class=\"battle_replay\" data-tag=\"' || tag || '\">' || "
         f"{plays} || {ability} || {team_table} || {table('8 + CASE WHEN k % 53 = 11 THEN 1 ELSE 0 END', '0')} || "
-        f"'<div class=\"marker end_time\">' || {duration} || '</div><div class=\"clock\">12:24</div></div>'"
+        f"'<div class=\"marker end_time\">' || {duration} || '</div><em>7:07</em></div>'"
     )
     payload = F.when(F.expr("k % 41 = 8"), F.lit('{"success": false, "html": "requires login"}')).when(
         F.expr("k % 43 = 9"), F.lit('{"success": true, "html": "<p>Replay not found</p>"}')

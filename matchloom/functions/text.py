@@ -31,6 +31,38 @@ def attribute(tag: Column, name: str) -> Column:
     return F.regexp_extract(tag, name + '="([^"]*)"', 1)
 
 
+def tags(body: Column, name: str = "[A-Za-z][A-Za-z0-9]*") -> Column:
+    """Opening tags of a body, as text, in order."""
+    return F.regexp_extract_all(body, F.lit(rf"<{name}\b[^>]*>"), F.lit(0))
+
+
+def elements(body: Column, name: str) -> Column:
+    """Elements of a name that do not nest (tables, rows), from opening to closing tag."""
+    return F.regexp_extract_all(body, F.lit(rf"(?s)<{name}\b[^>]*>.*?</{name}>"), F.lit(0))
+
+
+def pieces(body: Column) -> Column:
+    """Opening tags, each with the text up to the next tag."""
+    return F.regexp_extract_all(body, F.lit("<[A-Za-z][^>]*>[^<]*"), F.lit(0))
+
+
+def text_behind(piece: Column) -> Column:
+    return F.btrim(F.substring_index(piece, ">", -1), F.lit(BLANKS))
+
+
+def has_class(tag: Column, *names: str) -> Column:
+    """The tag's class list holds every name."""
+    own = F.split(attribute(tag, "class"), r"\s+")
+    return F.size(F.array_intersect(own, F.array(*[F.lit(n) for n in names]))) == len(set(names))
+
+
+def page_player(link: Column) -> Column:
+    """Player of a link to a player's battles, empty when it is none: the path part between the two words."""
+    parts = F.split(F.coalesce(link, F.lit("")), "/")
+    at = F.array_position(parts, "player").cast("int")
+    return F.when((at > 0) & F.get(parts, at + 1).startswith("battles"), F.get(parts, at)).otherwise(F.lit(""))
+
+
 def strip_tag(tag: Column) -> Column:
     """Upper-cased player tag without blanks and leading ``#``; not validated."""
     return F.upper(F.regexp_replace(F.btrim(tag, F.lit(BLANKS)), "^#+", ""))
@@ -47,8 +79,8 @@ def season_id(value: Column) -> Column:
 
 
 def digits_to_int(text: Column) -> Column:
-    """INT of an ASCII digit string, else null."""
-    return F.when(text.rlike("^[0-9]+$"), text.try_cast("int"))
+    """BIGINT of an ASCII digit string, else null."""
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
 
 
 def split_tags(text: Column) -> Column:

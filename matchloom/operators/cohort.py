@@ -70,7 +70,7 @@ def profile_proofs(pages: DataFrame, latest: str) -> DataFrame:
 
 
 def source_page(pages: DataFrame, base: str, links: Column, max_players: int, max_sources: int) -> DataFrame:
-    """Players and country boards of a source page; empty or oversized pages are errors."""
+    """Players and country boards of a source page; empty or oversized pages are errors, nothing is cut."""
     tags = F.array_distinct(F.filter(F.transform(links, F.upper), lambda t: t.rlike(V.PLAYER_PATTERN)))
     hrefs = F.regexp_extract_all("body", F.lit(r'<a\b[^>]*\bhref="([^"]*)"'), F.lit(1))
     boards = F.filter(
@@ -79,10 +79,11 @@ def source_page(pages: DataFrame, base: str, links: Column, max_players: int, ma
     )
     staged = pages.withColumns({"tags": tags, "_boards": F.array_distinct(boards)})
     return staged.select(
-        "seq", "url", "tags", F.slice("_boards", 1, max_sources).alias("source_urls"),
+        "seq", "url", "tags", F.col("_boards").alias("source_urls"),
         F.sha2("body", 256).alias("html_sha256"),
         F.when(F.size("tags") == 0, F.lit("no_players"))
-        .when(F.size("tags") > max_players, F.lit("too_many_players")).alias("page_error"),
+        .when(F.size("tags") > max_players, F.lit("too_many_players"))
+        .when(F.size("_boards") > max_sources, F.lit("too_many_sources")).alias("page_error"),
     )
 
 

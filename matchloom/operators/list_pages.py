@@ -83,8 +83,10 @@ def _deck_record(deck: Column) -> Column:
     number = lambda label: F.regexp_extract(label, "([0-9]+)", 1).try_cast("int")
     parsed = F.map_filter(
         F.transform_values(deck["labels"], lambda _, v: number(v)), lambda _, v: v.isNotNull())
-    tower = F.regexp_extract(F.coalesce(deck["tower_class"], F.lit("")), V.TOWER_CLASS, 1)
-    tower_level = F.regexp_extract(F.coalesce(deck["tower_label"], F.lit("")), V.LEVEL_LABEL, 1)
+    own = F.filter(F.split(F.coalesce(deck["tower_class"], F.lit("")), r"\s+"), lambda c: c.startswith(V.TOWER_CLASS))
+    tower = F.coalesce(F.substring(F.get(own, F.lit(0)), len(V.TOWER_CLASS) + 1, (1 << 31) - 1), F.lit(""))
+    behind = F.ltrim(F.substring_index(F.coalesce(deck["tower_label"], F.lit("")), V.LEVEL_WORD, -1))
+    tower_level = F.when(F.coalesce(deck["tower_label"], F.lit("")).contains(V.LEVEL_WORD), F.regexp_extract(behind, "^[0-9]+", 0))
 
     def record(levels: Column) -> Column:
         deck_cards = F.transform(
@@ -102,7 +104,7 @@ def _deck_record(deck: Column) -> Column:
             & (F.size(levels) == V.DECK_SIZE)
         )
         return F.struct(
-            F.regexp_extract(F.coalesce(deck["player_link"], F.lit("")), V.PLAYER_PAGE, 1).alias("player_tag"),
+            X.page_player(deck["player_link"]).alias("player_tag"),
             slugs.alias("full_deck"), deck_cards.alias("deck_cards"),
             F.when(tower != "", tower).alias("tower_troop"),
             tower_level.try_cast("int").alias("tower_troop_level"),
@@ -213,6 +215,11 @@ def normal_1v1(metadata: dict[str, Column]) -> Column:
 # -- pages to battles ----------------------------------------------------------
 
 
+def replay_buttons(body: Column) -> Column:
+    """Opening tags of the buttons that lead to replays."""
+    return F.filter(X.tags(body, "button"), lambda b: X.has_class(b, V.REPLAY_BUTTON))
+
+
 def raw_battles(pages: DataFrame) -> DataFrame:
     """First button per battle tag within each page, blocks before bare buttons."""
     blocks = F.transform(
@@ -223,7 +230,7 @@ def raw_battles(pages: DataFrame) -> DataFrame:
         ),
     )
     bare = F.transform(
-        F.regexp_extract_all("body", F.lit(V.REPLAY_BUTTON), F.lit(0)),
+        replay_buttons(F.col("body")),
         lambda b: F.struct(
             X.attribute(b, "data-replay").alias("tag"), F.lit(None).cast("string").alias("item"), b.alias("bare"),
         ),
@@ -325,7 +332,7 @@ def battles(pages: DataFrame, base: str) -> DataFrame:
 def player_tags(body: Column) -> Column:
     """Players named by replay buttons, in page order, each once."""
     named = F.transform(
-        F.regexp_extract_all(body, F.lit(V.REPLAY_BUTTON), F.lit(0)),
+        replay_buttons(body),
         lambda b: F.concat(
             F.split(X.attribute(b, "data-team-tags"), ","), F.split(X.attribute(b, "data-opponent-tags"), ",")
         ),
@@ -335,7 +342,8 @@ def player_tags(body: Column) -> Column:
 
 def player_links(body: Column) -> Column:
     """Players linked from a board, then those of embedded ranking rows."""
-    links = F.regexp_extract_all(body, F.lit(V.PLAYER_HREF), F.lit(1))
+    targets = F.transform(X.tags(body), lambda t: X.attribute(t, "href"))
+    links = F.transform(F.filter(targets, lambda t: t.rlike("^/player/[A-Za-z0-9]{3,}$")), lambda t: F.substring_index(t, "/", -1))
     rows = F.regexp_extract_all(body, F.lit(V.RANKING_ROW), F.lit(1))
     return F.array_distinct(F.concat(links, rows))
 

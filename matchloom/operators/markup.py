@@ -24,12 +24,13 @@ from matchloom import values as V
 # Ship this module with the tasks: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_PLAYER_PAGE = re.compile(V.PLAYER_PAGE)
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+# Quoted values may hold a >; the inner runs are possessive, so an unterminated quote ends the
+# attempt at once instead of trying every way to split what stands before it.
 _TAG = re.compile(
-    r"""<!--.*?-->|<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]+|"[^"]*"|'[^']*')*)>""", re.S)
+    r"""<!--.*?-->|<(/?)([A-Za-z][^\s/>]*+)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _RAW_TEXT = re.compile(r"(<(script|style)\b[^>]*>)(.*?)(?=</\2|\Z)", re.S | re.I)
 _CLASS = re.compile(r"""(?:^|\s)class="([^"&]*)["]""")
 _CARD_KEY = re.compile(r"""(?:^|\s)data-card-key="([^"&]*)["]""")
@@ -143,6 +144,13 @@ def _deck(node, player, tower):
     }
 
 
+def _player(link):
+    """The path part between "player" and "battles", if the link has it."""
+    parts = link.split("/")
+    at = parts.index("player") if "player" in parts else len(parts)
+    return parts[at + 1] if len(parts) > at + 2 and parts[at + 2].startswith("battles") else ""
+
+
 def _round(segment):
     towers = [
         image for box in segment.find("deck_tower_card__container")
@@ -151,7 +159,7 @@ def _round(segment):
     decks = [n for n in segment.walk() if n.tag == "div" and "deck_" in n.raw and n.attrs.get("id", "").startswith("deck_")]
     links = [
         a.attrs.get("href", "") for a in segment.find("player_name_header", tag="a")
-        if _PLAYER_PAGE.search(a.attrs.get("href", ""))
+        if _player(a.attrs.get("href", ""))
     ]
     links += [None] * len(decks)
     towers += [None] * len(decks)
@@ -197,7 +205,16 @@ def _profile(body: str) -> str:
     })
 
 
-_ROSTER_CALL = re.compile(V.ROSTER_CALL)
+def _roster_calls(text):
+    """What follows the first comma of each roster call that names the roster box."""
+    at = text.find(V.ROSTER_CALL)
+    while at >= 0:
+        comma = text.find(",", at)
+        if comma < 0:
+            return
+        if V.ROSTER_BOX in text[at:comma]:
+            yield text[comma + 1:].lstrip()
+        at = text.find(V.ROSTER_CALL, comma)
 
 
 def _board(body: str) -> str:
@@ -206,9 +223,9 @@ def _board(body: str) -> str:
     arrays, broken = [], False
     for script in (n for n in root.walk() if n.tag == "script"):
         text = script.page.body[script.start:script.stop]
-        for call in _ROSTER_CALL.finditer(text):
+        for rest in _roster_calls(text):
             try:
-                arrays.append(json.JSONDecoder().raw_decode(text[call.end():])[0])
+                arrays.append(json.JSONDecoder().raw_decode(rest)[0])
             except ValueError:
                 broken = True
     return json.dumps({

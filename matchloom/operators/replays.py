@@ -12,13 +12,18 @@ from matchloom.functions.expr import let, once
 
 
 def payload_text(body: Column) -> Column:
-    """JSON text of a response that may be wrapped in markup."""
-    pre = F.regexp_extract(body, r"(?s)<pre[^>]*>(.*?)</pre>", 1)
-    bare = F.when(pre != "", pre).when(body.rlike(r"^\s*<"), F.regexp_replace(body, "<[^>]+>", "")).otherwise(body)
+    """JSON text of a response: as it is, or, if it starts with markup, what the markup holds, with
+    entities decoded if only that makes it JSON."""
+    wrapped = body.rlike(r"^\s*<")
+    inner = F.get(X.elements(body, "pre"), F.lit(0))
+    bare = F.regexp_replace(F.coalesce(inner, body), "<[^>]+>", "")
     decoded = bare
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.btrim(F.when(pre != "", decoded).when(body.rlike(r"^\s*<"), decoded).otherwise(body))
+    kept = F.regexp_replace(F.coalesce(inner, F.lit("")), r"(?s)^<pre\b[^>]*>|</pre>$", "")
+    tried = [F.btrim(kept), F.btrim(bare), F.btrim(decoded)]
+    found = F.get(F.filter(F.array(*tried), lambda t: F.try_parse_json(t).isNotNull() & (t != "")), F.lit(0))
+    return F.when(wrapped, F.coalesce(found, F.btrim(decoded))).otherwise(F.btrim(body))
 
 
 def unwrap(payloads: DataFrame) -> DataFrame:
@@ -48,7 +53,7 @@ def _marker(tag: Column, index: Column) -> Column:
     return let(
         F.struct(
             index.cast("int").alias("marker_index"),
-            F.regexp_extract(tag, V.MARKER_COLOR, 1).alias("color"),
+            F.when(X.has_class(tag, V.MARKER_COLORS[0]), V.MARKER_COLORS[0]).otherwise(V.MARKER_COLORS[1]).alias("color"),
             raw("data-c").alias("card"), raw("data-x").alias("xs"), raw("data-y").alias("ys"),
             raw("data-t").alias("ts"), raw("data-s").alias("ss"), raw("data-i").alias("orientation"),
         ),
@@ -102,15 +107,18 @@ def _event(m: Column, v: Column, o: Column) -> Column:
 
 
 def _table_rows(table: Column) -> Column:
+    def cell(cells: Column, test) -> Column:
+        """Text of the first cell whose class passes the test."""
+        return F.coalesce(X.text_behind(F.get(F.filter(cells, lambda c: test(X.attribute(c, "class"))), F.lit(0))), F.lit(""))
+
     def row(tr: Column) -> Column:
-        elixir = F.regexp_extract(tr, V.ROW_ELIXIR, 1)
-        return F.struct(
-            F.btrim(F.regexp_extract(tr, V.ROW_TITLE, 1)).alias("title"),
-            X.digits_to_int(F.regexp_extract(tr, V.ROW_COUNT, 1)).alias("count"),
-            F.when(elixir != "", elixir).try_cast("double").alias("elixir"),
-        )
+        return let(X.pieces(tr), lambda cells: F.struct(
+            cell(cells, lambda c: c == "title").alias("title"),
+            X.digits_to_int(cell(cells, lambda c: c.contains("count"))).alias("count"),
+            cell(cells, lambda c: c.contains("elixir")).try_cast("double").alias("elixir"),
+        ))
 
-    rows = F.transform(F.regexp_extract_all(table, F.lit(V.TABLE_ROW), F.lit(1)), row)
+    rows = F.transform(X.elements(table, "tr"), row)
     return F.filter(rows, lambda r: r["title"] != "")
 
 
@@ -162,7 +170,8 @@ def _seconds(clock: Column) -> Column:
 
 def duration_seconds(html: Column) -> Column:
     """The timeline's end mark; only pages without one fall back to the latest clock."""
-    end = F.regexp_extract(html, V.END_MARK, 1)
+    marked = F.transform(F.filter(X.pieces(html), lambda p: X.has_class(p, V.MARKER, V.END_MARK)), X.text_behind)
+    end = F.coalesce(F.get(F.filter(F.transform(marked, lambda t: F.regexp_extract(t, "^" + V.CLOCK, 1)), lambda t: t != ""), F.lit(0)), F.lit(""))
     clocks = F.regexp_extract_all(html, F.lit(V.CLOCK), F.lit(1))
     return F.when(end != "", _seconds(end)).otherwise(F.array_max(F.transform(clocks, _seconds)))
 
@@ -181,10 +190,14 @@ def _card_counts(plays: Column, side: str) -> Column:
 
 def parse(payloads: DataFrame) -> DataFrame:
     """Replay documents of unwrapped payloads; ``parse_error`` marks unusable ones."""
-    tag = F.regexp_extract("html", V.REPLAY_TAG, 1)
+    divs, tables = X.tags(F.col("html"), "div"), X.elements(F.col("html"), "table")
+    boxes = F.filter(divs, lambda t: X.has_class(t, V.REPLAY_BOX))
+    tag = F.coalesce(X.attribute(F.get(boxes, F.lit(0)), "data-tag"), F.lit(""))
+    markers = F.filter(divs, lambda t: X.attribute(t, "class").isin(*[f"{c} {V.MARKER}" for c in V.MARKER_COLORS]))
+    tables = F.filter(tables, lambda t: F.get(X.tags(t, "table"), F.lit(0)).contains(V.ELIXIR_TABLE))
     found = once(payloads, {
-        "_markers": F.transform(F.regexp_extract_all("html", F.lit(V.MARKER), F.lit(0)), _marker),
-        "_tables": F.transform(F.regexp_extract_all("html", F.lit(V.ELIXIR_TABLE), F.lit(0)), _table_rows),
+        "_markers": F.transform(markers, _marker),
+        "_tables": F.transform(tables, _table_rows),
         "replay_tag": F.when(tag != "", tag),
         "duration_seconds": duration_seconds(F.col("html")),
     })

@@ -37,7 +37,7 @@ def visit_state(log: DataFrame, key: str, base: float, longest: float, failure_b
         key, "generation", "failures", "zero_new_streak",
         F.col("_g.at").alias("fetched_at"), (F.col("_g.at") + base).alias("cache_expires_at"),
         F.col("_g.new_count").alias("last_new"), F.col("_g.html_sha256").alias("html_sha256"),
-        F.when(~F.col("_l.ok"), F.substring("_l.error", 1, 500)).alias("last_error"),
+        F.when(~F.col("_l.ok"), F.col("_l.error")).alias("last_error"),
         (F.col("_l.at") + due).alias("due"),
     )
 
@@ -100,6 +100,15 @@ def plan_revisits(state: DataFrame, tasks: DataFrame, now: float, batch: int, pe
     return revisit_tasks(due_entries(freed, "player_key", now, min(batch, max(0, pending_limit - active))))
 
 
+def visit_overview(states: DataFrame, known: DataFrame, key: str, now: float) -> DataFrame:
+    """One row: keys seen before and newly discovered ones (not in ``known``), how many are due now, and
+    when the next one falls due."""
+    marked = states.join(known.select(key).distinct().withColumn("_seen", F.lit(True)), key, "left")
+    return marked.agg(
+        F.count_if(F.col("_seen")).alias("seen"), F.count_if(F.col("_seen").isNull()).alias("discovered"),
+        F.count_if(F.col("due") <= now).alias("due_now"), F.min(F.when(F.col("due") > now, F.col("due"))).alias("next_due"))
+
+
 def register_sources(existing: DataFrame, urls: DataFrame, max_sources: int) -> DataFrame:
     """New source addresses in order, up to the limit."""
     room = max(0, max_sources - existing.count())
@@ -110,7 +119,7 @@ def pool_next_check(entries: DataFrame, now: Column) -> DataFrame:
     """Next check of pool sources and candidates after an attempt."""
     failures = F.when(F.col("error").isNotNull(), F.col("failures") + 1).otherwise(0)
     return entries.withColumn("failures", failures).withColumn(
-        "due", now + B.pool_delay(F.col("failures"), F.col("is_source"))).withColumn("last_error", F.substring("error", 1, 300))
+        "due", now + B.pool_delay(F.col("failures"), F.col("is_source"))).withColumn("last_error", F.col("error"))
 
 
 def cache_is_fresh(record_url: Column, url: Column, tags: Column, fetched: Column, now: Column, ttl: float) -> Column:

@@ -36,7 +36,9 @@ def list_etl(
         chosen.select("battle_tag", "replay_url", "url", "seq", "position"), ["battle_tag"], "seq", "position")
     if known is not None:
         details = select.keep_absent(details, known, ["battle_tag"])
-    observed = chosen.withColumn("obs", F.col("seq") * 1000 + F.col("position"))
+    # Page order, then place on the page. A page is one string of at most 2^31 bytes, and a battle
+    # takes over 128 of them, so a place fits in 24 bits.
+    observed = chosen.withColumn("obs", F.shiftleft(F.col("seq").cast("bigint"), 24) + F.col("position"))
     return {
         "battles": battles, "eligible": chosen,
         "details": details.withColumn("dedup_key", K.battle_key(F.col("battle_tag"))),
@@ -59,8 +61,8 @@ def admit(
 ) -> DataFrame:
     """Documents joined to metadata and checked: ``decision`` and ``reason`` for each.
 
-    With a contract the strict gate decides, without it the ordinary checks. Battles
-    whose metadata alone decides against them never enter the join with documents.
+    With a contract the strict gate decides, without it the ordinary checks. Every document is judged
+    in full; ``ruled_out`` gives the battles that metadata alone turns away, to be left out before.
     """
     usable = documents.filter(F.col("outcome") == "ok")
     if contract is None:
@@ -78,6 +80,25 @@ def admit(
     }).drop("_error")
 
 
+def ruled_out(tasks: DataFrame, metadata: DataFrame, contract: gate.Contract) -> DataFrame:
+    """``battle_tag``, ``tier`` and ``reason`` of waiting battles that need no replay, as their metadata
+    decides against them. Only metadata is read; leave them out of a batch by an anti-join."""
+    early = metadata.select("battle_tag", gate.early_decision(contract).alias("_e")).filter(F.col("_e").isNotNull())
+    return early.join(tasks.select("battle_tag").distinct(), "battle_tag", "left_semi").select("battle_tag", "_e.tier", "_e.reason")
+
+
+def run_counters(outcomes: DataFrame) -> DataFrame:
+    """One row of a run's outcome counters over its task log (``kind``, ``outcome``, ``attempts``): tasks done,
+    retried, dead and skipped, in all and per kind as a map."""
+    kinds = outcomes.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), *[
+        F.count_if(F.col("outcome") == o).alias(o) for o in ("done", "retry", "dead", "skipped")])
+    entry = F.struct("kind", F.struct("done", "retry", "dead", "skipped"))
+    return kinds.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("outcomes"),
+        *[F.coalesce(F.sum(o), F.lit(0)).alias(o) for o in ("done", "retry", "dead", "skipped")],
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("by_kind"))
+
+
 def accepted(decided: DataFrame, earlier: DataFrame, target: int) -> DataFrame:
     """Accepted documents within the target."""
     return admission.capped(decided.filter(F.col("decision") == "accepted"), earlier, target)
@@ -108,14 +129,17 @@ def expand(
             F.col("previous_fingerprint"), zero_limit))
     )
     url = F.col("_next.url")
-    usable = is_true(url.isNotNull() & (F.col("page") < max_pages) & T.page_in_window(U.query_param(url, "before"), low, closed_season))
+    usable = is_true(url.isNotNull() & T.page_in_window(U.query_param(url, "before"), low, closed_season))
+    cursor, previous = (U.query_param(u, "before").try_cast("bigint") for u in (url, F.col("url")))
     same = K.page_key(url) == K.page_key(F.col("url"))
     cutoff = usable & ((F.col("decision.stop_history") & F.lit(not closed_season)) | same)
     judged = step.withColumns({
         "cutoff": is_true(cutoff),
         "cutoff_reason": F.when(usable & same, "same_list_url").when(usable, F.col("decision.reason")),
         "error": F.when(F.col("_next.error").isNotNull(), F.col("_next.error")).when(
-            usable & ~is_true(U.player_list_url_allowed(url, F.col("owner"), base)), "foreign_list_url"),
+            usable & ~is_true(U.player_list_url_allowed(url, F.col("owner"), base)), "foreign_list_url").when(
+            usable & ~is_true(cutoff) & is_true(cursor >= previous), "cursor_not_decreasing").when(
+            usable & ~is_true(cutoff) & (F.col("page") >= max_pages), "page_ceiling"),
     })
     follow = judged.filter(usable & ~F.col("cutoff") & F.col("error").isNull()).select(
         url.alias("url"), F.lit("list").alias("kind"), F.col("owner").alias("tag"), (F.col("page") + 1).alias("page"),

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,13 @@ def local_session(cores: str = "8", name: str = "matchloom") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only when the session names none (tests, a laptop) a local one is made.
+    Only a local session without one (tests, a laptop) gets a folder of its own; on a cluster
+    a folder of the driver would be another one on each executor, so there it is an error.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="matchloom-")
         spark.conf.set(CHECKPOINT_KEY, configured)
     return configured.rstrip("/")
@@ -53,6 +57,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at a path, or None if there is nothing yet. Any other failure is raised:
+    a table that can't be read is not an empty one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table. Zone-less timestamps are read as UTC instants."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -68,8 +68,9 @@ def index_urls(rows: DataFrame) -> DataFrame:
 
 
 def replay_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Replay documents of any schema version; fields a version lacks are null."""
-    return spark.read.schema(S.REPLAYS).json(path).withColumn("source_path", F.col("_metadata.file_path"))
+    """Replay documents of any schema version; fields a version lacks are null. A line that is no
+    document stops the job that reads it."""
+    return spark.read.schema(S.REPLAYS).option("mode", "FAILFAST").json(path).withColumn("source_path", F.col("_metadata.file_path"))
 
 
 def completed_runs(tasks: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def test_one_on_one(spark):
     side = b["rounds"][0]["team"][0]
     assert side["full_deck"] == S.TEAM and side["card_levels"]["t3"] == 13 and side["tower_troop"] == "tower-a" and side["tower_troop_level"] == 15
     assert side["deck_cards"][7] == {"slot": 7, "slug": "t7", "base_slug": "t7", "form": "base", "level": 17}
-    assert b["final_tower_hp"]["opponent"] == {"king": 7728, "princess0": 0, "princess1": 5, "total": 7733}
+    assert b["final_tower_hp"]["opponent"] == {"king": 7728, "princess0": 0, "princess1": 915, "total": 8643}
     assert b["replay_url"] == (
         "http://site.example/data/replay?tag=M1&team_tags=ALPHA&opponent_tags=BRAVO&team_crowns=1&opponent_crowns=0"
         "&referrer_path=http://site.example/player/ALPHA/battles")
@@ -63,7 +63,7 @@ def test_scripts_comments_and_stray_tags_do_not_confuse(spark):
 
 
 def test_hp_must_add_up(spark):
-    (b,) = parse(spark, S.block().replace('data-team-total="7758"', 'data-team-total="7759"'))
+    (b,) = parse(spark, S.block().replace('data-team-total="11338"', 'data-team-total="11339"'))
     assert b["final_tower_hp"] is None and not b["authoritative_complete"]
 
 

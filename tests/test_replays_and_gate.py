@@ -47,7 +47,7 @@ def test_bad_markers_are_named(spark, marker, error):
 
 
 def test_duration_falls_back_to_latest_clock(spark):
-    assert parse(spark, S.replay(end=None)).first().duration_seconds == 12 * 60 + 24
+    assert parse(spark, S.replay(end=None)).first().duration_seconds == 9 * 60 + 41
 
 
 def test_tables_match_by_count_before_position(spark):
