@@ -49,9 +49,9 @@ def fold(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words of a text as an array; empty for null or blank text."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
+    """Words of a text as an array; empty for null or blank text. Splitting at one plain character is
+    several times faster than at a pattern."""
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), BLANKS[1:], " " * 5), " "), "")
 
 
 def map_batches(df: DataFrame, make: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:

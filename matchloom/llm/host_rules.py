@@ -33,11 +33,12 @@ RULES = {
 def repeated_words(found: Column) -> Column:
     """How many words lie in a window of WINDOW words that occurs twice or more in the text.
 
-    Windows are hashed by doubling (1, 2, 4, 8 words). Only if two hashes agree are the windows
-    sorted to find which; their positions then give the words covered."""
-    def pairs(h: Column, step: int) -> Column:
-        left = F.size(h) - step
-        return F.zip_with(F.slice(h, F.lit(1), left), F.slice(h, F.lit(step + 1), left), lambda a, b: F.xxhash64(a, b))
+    The second of two equal windows of eight words holds five windows of four that were there before, so texts
+    with fewer than five repeated windows of four are done. In the others all windows are hashed and
+    sorted to find the equal ones; their positions then give the words covered."""
+    def grams(ws: Column, n: int) -> Column:
+        each = F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, n)]))
+        return F.slice(each, F.lit(1), F.size(ws) - (n - 1))
 
     def covered(h: Column) -> Column:
         return let(F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i")))), lambda s: let(
@@ -49,21 +50,23 @@ def repeated_words(found: Column) -> Column:
                 lambda acc, p: F.struct((acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("n"), p.alias("last")),
                 lambda acc: acc["n"])))
 
-    by_eight = let(F.transform(found, lambda w: F.xxhash64(w)), lambda a: let(
-        pairs(a, 1), lambda b: let(pairs(b, 2), lambda c: pairs(c, 4))))
-    counted = let(by_eight, lambda h: F.when(
-        F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
-    return F.when(F.size(found) <= WINDOW, F.lit(0)).otherwise(counted).cast("bigint")
+    def counted(ws: Column) -> Column:
+        few = let(grams(ws, WINDOW // 2), lambda h: F.size(h) - F.size(F.array_distinct(h)) <= WINDOW // 2)
+        return F.when((F.size(ws) <= WINDOW) | few, F.lit(0)).otherwise(let(grams(ws, WINDOW), covered))
+
+    # Bound once: inside the lambdas the words are then a variable, not an expression to be evaluated anew.
+    return F.when(F.size(found) <= WINDOW, F.lit(0)).otherwise(let(found, counted)).cast("bigint")
 
 
 def measures(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``host`` and the counts of every row."""
     text = F.coalesce("text", F.lit(""))
     split = docs.select("doc_id", F.col("source").alias("host"), text.alias("text"), words(text).alias("ws"))
+    no_blanks = F.translate("text", BLANKS, "")
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     return split.select(
         "doc_id", "host", F.size("ws").cast("bigint").alias("n_words"),
-        F.length(F.translate("text", BLANKS, "")).cast("bigint").alias("word_chars"),
+        F.length(no_blanks).cast("bigint").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
         let(lines, lambda x: F.struct(F.size(x).cast("bigint").alias("n"), F.size(F.array_distinct(x)).cast("bigint").alias("d"))).alias("_l"),
         repeated_words(F.col("ws")).alias("n_repeat_words"),

@@ -63,8 +63,10 @@ def posteriors(docs: DataFrame, priors: list[float], weights: DataFrame) -> Data
     """``doc_id``, ``h`` (hash of the text), ``tokens`` and ``p``, the posterior of each domain, of every row."""
     k = len(priors)
     tables = [weights.select(f"w{i}").scalar() for i in range(k)]
-    keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    each = keyed.select("key", "doc_id", F.xxhash64("text").alias("h"), F.explode_outer(words(fold(F.col("text")))).alias("w"))
+    # Hash and words in a step of their own: beside the generator they would be computed once per word.
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", F.xxhash64(text).alias("h"), words(fold(text)).alias("ws"))
+    each = keyed.select("key", "doc_id", "h", F.explode_outer("ws").alias("w"))
     bucket = _bucket(F.col("w"))
     summed = each.groupBy("key", "doc_id", "h").agg(
         F.count("w").alias("tokens"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from matchloom.llm import class_lm, disclosure, gray_index, host_rules, mixing, quality_trees, spaced_seeds, toxic_spans, trigrams, winnow
-from matchloom.llm.base import remainder
+from matchloom.llm.base import LOWER, UPPER, remainder
 from matchloom.session import load
 
 QUERIES = {}
@@ -105,3 +105,57 @@ def op10_class_lm(spark, sf):
 @query
 def op7_spaced_seeds(spark, sf):
     return spaced_seeds.overlaps(load(spark, sf, "documents"), load(spark, sf, "benchmark")).drop("h")
+
+
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_FAILS = "CASE WHEN {rule} THEN 1.0 ELSE 0.0 END"
+
+
+def _host_rules_sql() -> str:
+    rules = {"base_failed": "base_failed", **{r: f"({c})" for r, c in host_rules.RULES.items()}}
+    sums = ", ".join(f"sum({_FAILS.format(rule=c)}) AS f_{r}" for r, c in rules.items())
+    whole = ", ".join(
+        f"sum(f_{r}) / sum(n) AS m_{r}, avg((f_{r} / n) ** 2) - avg(f_{r} / n) ** 2 - (sum(f_{r}) / sum(n)) * (1 - sum(f_{r}) / sum(n)) * avg(1.0 / n) AS v_{r}"
+        for r in rules)
+    strength = ", ".join(
+        f"m_{r}, CASE WHEN v_{r} > 0 THEN least(10000.0, greatest(1.0, m_{r} * (1 - m_{r}) / v_{r} - 1)) ELSE 10000.0 END AS s_{r}" for r in rules)
+    rates = ", ".join(f"(f_{r} + m_{r} * s_{r}) / (n + s_{r}) >= 0.5 AS h_{r}" for r in rules)
+    failed = ", ".join(f"CASE WHEN {c} THEN '{r}' END" for r, c in rules.items() if r != "base_failed")
+    by_host = " OR ".join(f"({c} AND h_{r})" for r, c in rules.items() if r != "base_failed")
+    return rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, source, t, {_WORDS.format(text='t')} AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM dup) GROUP BY 1),
+m AS (SELECT w.doc_id, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines,
+  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
+j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, {sums} FROM j GROUP BY source),
+a AS (SELECT {whole} FROM h),
+s AS (SELECT {strength} FROM a),
+v AS (SELECT source, {rates} FROM h, s)
+SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, h_base_failed AS host_rejected,
+  array_to_string(list_filter([{failed}], lambda x: x IS NOT NULL), ',') AS failed, NOT base_failed AND NOT h_base_failed AND NOT ({by_host}) AS kept
+FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source
+"""
+
+
+def _spaced_seeds_sql() -> str:
+    drop, keep = (UPPER + spaced_seeds.PUNCTUATION).replace("'", "''"), LOWER
+    words = _WORDS.format(text=f"translate(coalesce(text, ''), '{drop}', '{keep}')")
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS ws FROM documents), b AS (SELECT item_id, {words} AS ws FROM benchmark),
+dw AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
+bw AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM b WHERE len(ws) >= {spaced_seeds.SPAN}),
+o AS (SELECT doc_id, item_id, dw.p - bw.p AS start, any_value(n) AS item_words, count(*) AS matched FROM dw JOIN bw USING (w) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) AS r FROM o WHERE matched >= 0.8 * item_words)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(matched AS INTEGER) AS matched, CAST(item_words AS INTEGER) AS item_words,
+  matched / item_words AS similarity FROM k WHERE r = 1
+"""
+
+
+SQL["op2_host_rules"] = _host_rules_sql()
+SQL["op7_spaced_seeds"] = _spaced_seeds_sql()

@@ -27,16 +27,19 @@ from matchloom.session import materialize
 
 MASKS = ("1101110011", "1110100111", "1011011101")
 SPAN = len(MASKS[0])
-SEGMENT = 4096
+SEGMENT = 256
 BITS = 1 << 21
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of a text's words, folded and without punctuation."""
-    plain = F.btrim(F.translate(F.coalesce(text, F.lit("")), UPPER + PUNCTUATION, LOWER), F.lit(BLANKS))
-    split = F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, r"[\x20\x09-\x0D]+"))
-    return F.transform(split, lambda w: F.xxhash64(w))
+def plain_words(text: Column) -> Column:
+    """A text's words, folded and without punctuation."""
+    plain = F.translate(F.coalesce(text, F.lit("")), BLANKS[1:] + UPPER + PUNCTUATION, " " * 5 + LOWER)
+    return F.array_remove(F.split(plain, " "), "")
+
+
+def hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -44,16 +47,26 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
 
 
-def _windows(df: DataFrame, keys: list[str], hashes: Column) -> DataFrame:
-    """One row per window of SPAN words: the keys, ``pos`` and the window's word hashes c0, c1, ..."""
-    cut = df.select(*keys, hashes.alias("wh")).filter(F.size("wh") >= SPAN)
-    starts = F.sequence(F.lit(0), F.size("wh") - SPAN, F.lit(SEGMENT))
-    parts = cut.select(*keys, F.explode(F.transform(starts, lambda s: F.struct(
-        s.alias("s"), F.slice("wh", s + 1, F.lit(SEGMENT + SPAN - 1)).alias("p")))).alias("_"))
-    many = F.size("_.p") - (SPAN - 1)
-    zipped = F.arrays_zip(*[F.slice("_.p", i + 1, many).alias(f"c{i}") for i in range(SPAN)])
-    return parts.select(*keys, F.col("_.s").alias("s"), F.posexplode(zipped).alias("k", "w")).select(
-        *keys, (F.col("s") + F.col("k")).alias("pos"), *[F.col("w")[f"c{i}"].alias(f"c{i}") for i in range(SPAN)])
+def _windows(df: DataFrame, keys: list[str], words: str, first: Column) -> DataFrame:
+    """One row per window of SPAN words of a short array: the keys, ``pos`` (from ``first`` on) and the
+    words' hashes c0, c1, ..."""
+    ready = df.select(*keys, first.alias("first"), hashed(F.col(words)).alias("p"))
+    many = F.greatest(F.size("p") - (SPAN - 1), F.lit(0))
+    zipped = F.arrays_zip(*[F.slice("p", i + 1, many).alias(f"c{i}") for i in range(SPAN)])
+    return ready.select(*keys, "first", F.posexplode_outer(zipped).alias("k", "w")).select(
+        *keys, (F.col("first") + F.col("k")).alias("pos"), *[F.col("w")[f"c{i}"].alias(f"c{i}") for i in range(SPAN)])
+
+
+def _anchors(items: DataFrame) -> DataFrame:
+    """``a``: for every window and mask of the items, the pair of neighbours that count with the most letters (such
+    a pair is rare as a rule). A document's window with the same seed has that pair too, so only
+    windows around such pairs need be looked at."""
+    starts = items.select("words", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias("s"))
+    word = lambda i: F.get("words", F.col("s") + i)
+    longest = [
+        F.array_max(F.array(*[F.struct((F.length(word(i)) + F.length(word(i + 1))).alias("n"), word(i).alias("v"), word(i + 1).alias("w"))
+                              for i in range(SPAN - 1) if mask[i:i + 2] == "11"])) for mask in MASKS]
+    return starts.select(F.explode(F.array(*longest)).alias("x")).select(F.xxhash64("x.v", "x.w").alias("a")).distinct()
 
 
 def _seeds() -> list[Column]:
@@ -86,11 +99,27 @@ def maybe(bits_set: Column, h: Column, bits: int = BITS) -> Column:
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataFrame:
     """``doc_id``, ``h``, ``item_id``, ``start`` (word of the document where the item begins, negative if
     before its first), ``matched``, ``item_words`` and ``similarity`` of every document and item it holds."""
-    items = materialize(benchmark.select("item_id", word_hashes(F.col("text")).alias("iw")).filter(F.size("iw") >= SPAN), "items")
-    windows = _windows(items, ["item_id"], F.col("iw"))
+    items = materialize(
+        benchmark.select("item_id", plain_words(F.col("text")).alias("words")).filter(F.size("words") >= SPAN)
+        .withColumn("iw", hashed(F.col("words"))), "items")
+    windows = _windows(items, ["item_id"], "words", F.lit(0))
     seeds = materialize(windows.select("item_id", F.col("pos").alias("ipos"), F.explode(F.array(*_seeds())).alias("seed")), "seeds")
-    known = bitmap(seeds.select("seed"))
-    rows = _windows(_identified(docs), ["doc_id", "h"], word_hashes(F.col("text")))
+    known, anchors = bitmap(seeds.select("seed")), bitmap(_anchors(items))
+    # The outer form keeps the optimizer from splitting every text once more to test for emptiness.
+    words = _identified(docs).select("doc_id", "h", plain_words(F.col("text")).alias("ws"))
+    # Texts in parts of SEGMENT words, with what windows reach on either side: a row around a met
+    # pair then carries a part, not its whole text.
+    starts = F.sequence(F.lit(0), F.greatest(F.size("ws") - 1, F.lit(0)), F.lit(SEGMENT))
+    low = lambda s: F.greatest(F.lit(0), s - (SPAN - 1))
+    parts = words.select("doc_id", "h", F.explode_outer(F.transform(starts, lambda s: F.struct(
+        s.alias("s"), low(s).alias("low"), F.slice("ws", low(s) + 1, s - low(s) + SEGMENT + SPAN - 1).alias("ws")))).alias("_"))
+    parts = parts.select("doc_id", "h", F.col("_.s").alias("s"), F.col("_.low").alias("low"), F.col("_.ws").alias("ws"))
+    pairs = F.arrays_zip(F.col("ws").alias("v"), F.slice("ws", F.lit(2), F.greatest(F.size("ws") - 1, F.lit(0))).alias("w"))
+    met = parts.select("doc_id", "h", "s", "low", "ws", F.posexplode_outer(pairs).alias("k", "x")).filter(
+        (F.col("low") + F.col("k")).between(F.col("s"), F.col("s") + (SEGMENT - 1)) & maybe(anchors, F.xxhash64("x.v", "x.w")))
+    first = F.greatest(F.lit(0), F.col("k") - (SPAN - 1))
+    around = met.select("doc_id", "h", (F.col("low") + first).alias("at"), F.slice("ws", first + 1, F.col("k") + SPAN - first).alias("near"))
+    rows = _windows(around, ["doc_id", "h"], "near", F.col("at"))
     found = rows.select("doc_id", "h", "pos", *[s.alias(f"s{n}") for n, s in enumerate(_seeds())])
     tests = [maybe(known, F.col(f"s{n}")) for n in range(len(MASKS))]
     hits = found.filter(tests[0] | tests[1] | tests[2]).select(
@@ -101,7 +130,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataF
     again = _identified(docs).filter(maybe(bitmap(diagonals.select(row().alias("r"))), row()))
     again = again.join(diagonals.select("doc_id", "h").distinct().withColumnsRenamed({"doc_id": "_id", "h": "_h"}),
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_semi")
-    again = again.dropDuplicates(["doc_id", "h"]).select("doc_id", "h", word_hashes(F.col("text")).alias("wh"))
+    again = again.dropDuplicates(["doc_id", "h"]).select("doc_id", "h", hashed(plain_words(F.col("text"))).alias("wh"))
     pairs = diagonals.withColumnsRenamed({"doc_id": "_id", "h": "_h"}).join(items, "item_id").join(
         again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
     skip, begin = F.greatest(-F.col("start"), F.lit(0)), F.greatest("start", F.lit(0))

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from matchloom.llm.base import FOLD, WORD, map_batches, ships
+from matchloom.llm.base import BYTE_FOLD, WORD, map_batches, ships
 from matchloom.llm.quality_trees import labelled
 
 ships(__name__)
@@ -34,14 +34,21 @@ BLOCK = 256
 MARK = 0.5
 #: Bound on the labelled documents the driver learns from.
 MAX_ROWS = 4_000
-EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+EDGES = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a word: itself without outer punctuation, its prefixes and its suffix."""
-    w = word.translate(FOLD).strip(EDGES) or word
-    names = {"=" + w, *("<" + w[:k] for k in range(3, 9) if k < len(w)), ">" + w[-4:]}
-    return sorted({zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in names})
+    """Hashed features of a word: itself without outer punctuation, its ending, and its beginnings of three
+    to eight bytes (each checksum goes on from the one before)."""
+    raw = word.encode()
+    b = raw.translate(BYTE_FOLD).strip(EDGES) or raw
+    crc, mask = zlib.crc32, (1 << BITS) - 1
+    out = [crc(b"=" + b) & mask, crc(b">" + b[-4:]) & mask]
+    c = crc(b"<" + b[:3])
+    for k in range(3, min(9, len(b))):
+        out.append(c & mask)
+        c = crc(b[k:k + 1], c)
+    return out
 
 
 @dataclass
@@ -218,18 +225,24 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id``, ``score`` and ``found`` (start, end, p of each offending word) of every document."""
     known: dict[str, float] = {}
 
-    def log_odds(word: str) -> float:
-        got = known.get(word)
-        if got is None:
-            if len(known) > 400_000:
-                known.clear()
-            got = known[word] = float(field.weights[features(word)].sum()) + field.bias
-        return got
+    def emissions(words: list[list[str]], weights: list[float], bias: float):
+        for text in words:
+            for w in text:
+                got = known.get(w)
+                if got is None:
+                    if len(known) > 400_000:
+                        known.clear()
+                    got = known[w] = sum([weights[f] for f in features(w)]) + bias
+                yield got
+
+    ready: list[list[float]] = []
 
     def batch(c):
         words = [WORD.findall(t or "") for t in c["text"]]
         lengths = np.array([len(x) for x in words])
-        emission = np.fromiter((log_odds(w) for x in words for w in x), np.float64, int(lengths.sum()))
+        if not ready:
+            ready.append(field.weights.tolist())
+        emission = np.fromiter(emissions(words, ready[0], field.bias), np.float64, int(lengths.sum()))
         p = marginals(emission, lengths, field.transitions)
         if field.constant is not None:
             return {"doc_id": c["doc_id"], "score": [field.constant] * len(words), "found": [[] for _ in words]}

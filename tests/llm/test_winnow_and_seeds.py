@@ -93,8 +93,7 @@ def test_substitutions(spark, text, every, held):
     assert {r.doc_id for r in spaced_seeds.clean(docs, items).collect()} == ({2} if held else {1, 2})
 
 
-def test_long_texts_are_cut_without_loss(spark, text, monkeypatch):
-    monkeypatch.setattr(spaced_seeds, "SEGMENT", 16)
+def test_items_are_found_wherever_they_stand(spark, text):
     item = text(24)
     docs = spark.createDataFrame([(i, f"{text(i)} {item} {text(40)}") for i in range(1, 40)], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
