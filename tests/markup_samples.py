@@ -64,7 +64,7 @@ def replay(tag="M1", markers=None, tables=None, end="1:05"):
     if markers is None:
         markers = []
         for i in range(8):
-            markers += [marker("red", RIVAL[i], 44 + 37 * i, "o", 9500, 17250, "0"), marker("blue", TEAM[i], 61 + 37 * i, "t")]
+            markers += [marker("blue", TEAM[i], 44 + 37 * i, "t"), marker("red", RIVAL[i], 61 + 37 * i, "o", 9500, 17250, "0")]
     tables = [table(8), table(8)] if tables is None else tables
     shown = [el("em", "", "9:41"), *tables, *markers]
     if end:
