@@ -69,12 +69,14 @@ def map_batches(df: DataFrame, make: Callable[[dict[str, list]], dict[str, list]
 
 
 def pieces(batch: pa.RecordBatch, size: int = PIECE) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``size`` bytes of text: what is made of a slice fits in memory
+    """The batch in slices of about ``size`` bytes of text (a list's values count 32 each): what is made of a slice fits in memory
     whatever the length of the texts."""
     weight = np.ones(batch.num_rows, np.int64)
     for column in batch.columns:
         if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
             weight += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        elif pa.types.is_list(column.type):
+            weight += 32 * pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
     cut = np.flatnonzero(np.diff(np.cumsum(weight) // size)) + 1
     for a, b in zip([0, *cut], [*cut, batch.num_rows]):
         if b > a:

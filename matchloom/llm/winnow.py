@@ -110,16 +110,20 @@ def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     firsts = prints.groupBy("fp").agg(F.min(F.struct("o", "h", "pos")).alias("f"), F.count("*").alias("n")).filter("n > 1").select("fp", "f")
     pairs = prints.join(firsts, "fp").filter("NOT (o = f.o AND h = f.h AND pos = f.pos)").select(
         "o", "h", F.col("f.o").alias("o0"), F.col("f.h").alias("h0"), (F.col("pos") - F.col("f.pos")).alias("shift"), "pos")
-    diagonals = materialize(pairs.groupBy("o", "h", "o0", "h0", "shift").agg(F.collect_set("pos").alias("seeds")), "diagonals")
+    # All diagonals of two documents in one row, so that their pieces travel once.
+    diagonals = materialize(pairs.groupBy("o", "h", "o0", "h0").agg(F.collect_set(F.struct("shift", "pos")).alias("seeds")), "diagonals")
     once = table.select("o", "h", "hashes", "words").dropDuplicates(["o", "h"])
     left = diagonals.join(once, ["o", "h"])
     right = once.select(F.col("o").alias("o0"), F.col("h").alias("h0"), F.col("hashes").alias("other"))
-    both = left.join(right, ["o0", "h0"]).select("o", "h", "shift", "seeds", "hashes", "words", "other")
+    both = left.join(right, ["o0", "h0"]).select("o", "h", "seeds", "hashes", "words", "other")
 
     def extend(c):
         out = {"o": [], "h": [], "a": [], "b": []}
-        for o, h, shift, seeds, mine, words, other in zip(*[c[x] for x in ("o", "h", "shift", "seeds", "hashes", "words", "other")]):
-            for a, b in runs(np.array(mine), np.array(other), np.array(words), shift, seeds, least):
+        for o, h, seeds, mine, words, other in zip(*[c[x] for x in ("o", "h", "seeds", "hashes", "words", "other")]):
+            mine, other, words, along = np.array(mine), np.array(other), np.array(words), {}
+            for s in seeds:
+                along.setdefault(s["shift"], []).append(s["pos"])
+            for a, b in {r for shift, at in along.items() for r in runs(mine, other, words, shift, at, least)}:
                 out["o"].append(o), out["h"].append(h), out["a"].append(a), out["b"].append(b)
         return out
 
