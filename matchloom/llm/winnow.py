@@ -1,7 +1,7 @@
 """Line dedup by winnowing over line hashes.
 
-A text's lines are cut into pieces: at sentence ends, and after ten words where no sentence ends. Each piece is
-hashed; two neighbouring pieces form a gram, and of every WINDOW neighbouring grams the smallest is a
+A text's lines are cut into pieces of five to ten words (fewer at the end of a line), at a sentence end if one
+comes in time. Each piece is hashed; two neighbouring pieces form a gram, and of every WINDOW neighbouring grams the smallest is a
 fingerprint. So a run of WINDOW + 1 repeated pieces (about fifty words, from a line or sentence start on) always shares a
 fingerprint with its earlier occurrence. Fingerprints that occur more than once are joined
 with their first occurrence; each pair gives a diagonal of two documents (or of one), along which
@@ -31,8 +31,9 @@ from matchloom.session import materialize
 
 ships(__name__)
 
-#: Up to ten words of a line, ending early behind a word that ends a sentence.
-PIECE = re.compile(r"(?:[^\x20\x09-\x0D]*[^\x20\x09-\x0D.!?][\x20\x09\x0B-\x0D]+){0,9}[^\x20\x09-\x0D]+")
+#: Up to ten words of a line, ending early behind a word that ends a sentence if there are five by then.
+PIECE = re.compile(
+    r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){0,4}(?:[^\x20\x09-\x0D]*[^\x20\x09-\x0D.!?][\x20\x09\x0B-\x0D]+){0,5}[^\x20\x09-\x0D]+")
 WINDOW = 4
 LEAST = 25
 LAST = (1 << 63) - 1

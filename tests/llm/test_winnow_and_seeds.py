@@ -8,7 +8,7 @@ from matchloom.llm.queries import QUERIES
 def test_cut_is_linear_and_whole():
     t = "One two. Three four five six seven eight nine ten eleven twelve thirteen\nfour. " + "x" * 20_000 + "! a b"
     spans, hashes = winnow.cut(t)
-    assert [t[a:b] for a, b in spans][:4] == ["One two.", "Three four five six seven eight nine ten eleven twelve", "thirteen", "four."]
+    assert [t[a:b] for a, b in spans] == ["One two. Three four five six seven eight nine ten", "eleven twelve thirteen", "four. " + "x" * 20_000 + "! a b"]
     assert " ".join(" ".join(WORD.findall(t[a:b])) for a, b in spans) == " ".join(WORD.findall(t)) and len(hashes) == len(spans)
 
 
