@@ -21,7 +21,7 @@ def payload_text(body: Column) -> Column:
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
     kept = F.regexp_replace(F.coalesce(inner, F.lit("")), r"(?s)^<pre\b[^>]*>|</pre>$", "")
-    tried = [F.btrim(kept), F.btrim(bare), F.btrim(decoded)]
+    tried = [F.btrim(decoded), F.btrim(kept)]
     found = F.get(F.filter(F.array(*tried), lambda t: F.try_parse_json(t).isNotNull() & (t != "")), F.lit(0))
     return F.when(wrapped, F.coalesce(found, F.btrim(decoded))).otherwise(F.btrim(body))
 
