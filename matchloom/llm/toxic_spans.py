@@ -142,7 +142,7 @@ def _summary(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(lengths)
     if len(full):
         start = (np.cumsum(lengths) - lengths)[full]
-        total = np.add.reduceat(p, start)
+        total = np.add.reduceat(np.where(p >= 0.2, p, 0), start)  # else many doubtful words make a long text toxic
         out[full, 1] = np.maximum.reduceat(p, start)
         out[full, 2] = np.log1p(total)
         out[full, 3] = np.minimum(1, 20 * total / lengths[full])
