@@ -1,16 +1,14 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup over pieces of lines, cut by winnowing.
 
 A text's lines are cut into pieces of at most ten words at places that the words themselves choose: behind a word whose
 hash with the next word is the least within two words on either side. So a passage is cut alike, but for a few
-words at its edges, whatever stands before it. Each piece is hashed; two neighbouring pieces form a gram, and of every WINDOW neighbouring grams the smallest is a
-fingerprint. So a run of WINDOW + 1 repeated pieces (about fifty words, from a line or sentence start on) always shares a
-fingerprint with its earlier occurrence. Fingerprints that occur more than once are joined
-with their first occurrence; each pair gives a diagonal of two documents (or of one), along which
-the match is extended both ways, piece by piece. Runs of ``least`` words or more are deleted from
-the later document. A deleted piece always has an equal piece earlier, so the first copy stays.
-
-Order is by ``doc_id`` (null last), then hash of the text, then position. Pairs are with the first
-occurrence only, so a passage in n documents makes n pairs per fingerprint, not n squared. Text moves once, to
+words at its edges, whatever stands before it. From each piece on, the pieces up to ``least`` words or just more are a run,
+named by a hash of its pieces; a run that occurs again after its first occurrence is deleted there. A longer
+repetition is a chain of such runs, so nothing is extended, and no occurrence is compared with one chosen partner: a
+piece goes if it lies in any ``least`` words of whole pieces that stand earlier, in whatever document. A deleted piece
+always has an equal piece earlier, so the first copy stays.
+
+Order is by ``doc_id`` (null last), then hash of the text, then position. A run in n places costs n rows. Text moves once, to
 meet its deletions.
 
 Defined results: null or blank texts have no pieces and stay as they are (null stays null); fully
@@ -113,7 +111,8 @@ def cut(text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
 
 
 def fingerprints(hashes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and values of the chosen grams: the smallest of each window, the last of equals."""
+    """Positions and values of the chosen grams: the smallest of each window, the last of equals. A sample of a text's
+    pieces; ``deletions`` takes all."""
     n = len(hashes) - 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -134,74 +133,55 @@ def order_of(doc_id: Column) -> Column:
     return F.coalesce(doc_id, F.lit(LAST))
 
 
-def pieces_of(docs: DataFrame) -> DataFrame:
-    """``o``, ``h`` (naming a row), hashes, spans and words of its pieces, and its fingerprints."""
+def grams(words: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of pieces that have ``least`` words or just more, one from each piece on: their first pieces, the pieces behind
+    them, and their hashes (signed). None crosses a text's end."""
+    n = len(hashes)
+    total = np.r_[0, np.cumsum(words)]
+    end = np.searchsorted(total, total[:-1] + least)
+    at = np.flatnonzero(end <= np.repeat(bounds[1:], np.diff(bounds)))
+    end = end[at]
+    odd = 0x9E3779B97F4A7C15
+    up, down = (np.cumprod(np.r_[np.uint64(1), np.full(n, x, np.uint64)]) for x in (odd, pow(odd, -1, 1 << 64)))
+    sums = np.r_[np.uint64(0), np.cumsum(mixed(hashes.view(np.uint64)) * up[:-1])]
+    return at, end, mixed((sums[end] - sums[at]) * down[at] + (end - at).astype(np.uint64)).view(np.int64)
+
+
+def pieces_of(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``o``, ``h`` (naming a row), spans of its pieces, and its runs: hash, and place behind, in order of their first pieces."""
     def batch(c):
         starts, ends, words, hashes, bounds = pieces_in(c["text"])
-        apart = lambda x: [x[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
-        prints = [fingerprints(h) for h in apart(hashes)]
-        return {"o": c["o"], "h": c["h"], "hashes": apart(hashes), "starts": apart(starts), "ends": apart(ends), "words": apart(words),
-                "prints": [[{"pos": int(p), "fp": int(v)} for p, v in zip(*x)] for x in prints]}
+        at, to, value = grams(words, hashes, bounds, least)
+        places = np.searchsorted(at, bounds)
+        to = to - np.repeat(bounds[:-1], np.diff(places))
+        apart = lambda x, where: [x[i:j] for i, j in zip(where[:-1], where[1:])]
+        return {"o": c["o"], "h": c["h"], "starts": apart(starts, bounds), "ends": apart(ends, bounds), "to": apart(to, places), "runs": apart(value, places)}
 
     text = F.coalesce("text", F.lit(""))
     return map_batches(
         docs.select(order_of(F.col("doc_id")).alias("o"), F.xxhash64(text).alias("h"), text.alias("text")), batch,
-        "o bigint, h bigint, hashes array<bigint>, starts array<int>, ends array<int>, words array<tinyint>, "
-        "prints array<struct<pos:int,fp:bigint>>")
-
-
-def runs(mine: np.ndarray, other: np.ndarray, words: np.ndarray, shift: int, seeds: list[int], least: int) -> list[tuple[int, int]]:
-    """Runs [start, end) of pieces of ``mine`` equal to those ``shift`` earlier in ``other``, extended
-    both ways from a seed, that have ``least`` words."""
-    low, high = max(0, shift), min(len(mine), len(other) + shift)
-    if high <= low:
-        return []
-    same = mine[low:high] == other[low - shift:high - shift]
-    edges = np.diff(np.r_[0, same.astype(np.int8), 0])
-    starts, ends = np.flatnonzero(edges == 1) + low, np.flatnonzero(edges == -1) + low
-    total = np.r_[0, np.cumsum(words)]
-    seeded = np.searchsorted(np.sort(seeds), starts) < np.searchsorted(np.sort(seeds), ends)
-    return [(int(a), int(b)) for a, b, s in zip(starts, ends, seeded) if s and total[b] - total[a] >= least]
+        "o bigint, h bigint, starts array<int>, ends array<int>, to array<int>, runs array<bigint>")
 
 
 def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``o``, ``h``, ``spans`` (start, end in code points, apart and in order) and ``cut`` (pieces deleted)
     of every row that loses something."""
-    table = materialize(pieces_of(docs), "pieces")
-    prints = table.select("o", "h", F.explode("prints").alias("p")).select("o", "h", "p.pos", "p.fp")
-    firsts = prints.groupBy("fp").agg(F.min(F.struct("o", "h", "pos")).alias("f"), F.count("*").alias("n")).filter("n > 1").select("fp", "f")
-    pairs = prints.join(firsts, "fp").filter("NOT (o = f.o AND h = f.h AND pos = f.pos)").select(
-        "o", "h", F.col("f.o").alias("o0"), F.col("f.h").alias("h0"), (F.col("pos") - F.col("f.pos")).alias("shift"), "pos")
-    # All diagonals of two documents in one row, so that their pieces travel once.
-    diagonals = materialize(pairs.groupBy("o", "h", "o0", "h0").agg(F.collect_set(F.struct("shift", "pos")).alias("seeds")), "diagonals")
-    once = table.select("o", "h", "hashes", "words").dropDuplicates(["o", "h"])
-    left = diagonals.join(once, ["o", "h"])
-    right = once.select(F.col("o").alias("o0"), F.col("h").alias("h0"), F.col("hashes").alias("other"))
-    both = left.join(right, ["o0", "h0"]).select("o", "h", "seeds", "hashes", "words", "other")
-
-    def extend(c):
-        out = {"o": [], "h": [], "a": [], "b": []}
-        for o, h, seeds, mine, words, other in zip(*[c[x] for x in ("o", "h", "seeds", "hashes", "words", "other")]):
-            mine, other, words, along = np.array(mine), np.array(other), np.array(words), {}
-            for s in seeds:
-                along.setdefault(s["shift"], []).append(s["pos"])
-            for a, b in {r for shift, at in along.items() for r in runs(mine, other, words, shift, at, least)}:
-                out["o"].append(o), out["h"].append(h), out["a"].append(a), out["b"].append(b)
-        return out
-
-    found = map_batches(both, extend, "o bigint, h bigint, a int, b int").groupBy("o", "h").agg(
-        F.array_sort(F.collect_set(F.struct("a", "b"))).alias("runs"))
-    spans = found.join(table.select("o", "h", "starts", "ends").dropDuplicates(["o", "h"]), ["o", "h"])
+    table = materialize(pieces_of(docs, least), "pieces")
+    prints = table.select("o", "h", F.posexplode("runs").alias("pos", "run"))
+    place = F.struct("o", "h", "pos")
+    firsts = prints.groupBy("run").agg(F.min(place).alias("f"), F.max(place).alias("_l")).filter("f != _l").select("run", "f")
+    found = prints.join(firsts, "run").filter("NOT (o = f.o AND h = f.h AND pos = f.pos)").groupBy("o", "h").agg(F.collect_set("pos").alias("at"))
+    spans = found.join(table.select("o", "h", "starts", "ends", "to").dropDuplicates(["o", "h"]), ["o", "h"])
 
     def merged(c):
         out = {"o": c["o"], "h": c["h"], "spans": [], "cut": []}
-        for own, starts, ends in zip(c["runs"], c["starts"], c["ends"]):
+        for at, starts, ends, to in zip(c["at"], c["starts"], c["ends"], c["to"]):
             joined: list[list[int]] = []
-            for r in own:
-                if joined and r["a"] <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], r["b"])
+            for a in sorted(at):
+                if joined and a <= joined[-1][1]:
+                    joined[-1][1] = max(joined[-1][1], to[a])
                 else:
-                    joined.append([r["a"], r["b"]])
+                    joined.append([a, to[a]])
             out["spans"].append([{"start": starts[a], "end": ends[b - 1]} for a, b in joined])
             out["cut"].append(sum(b - a for a, b in joined))
         return out

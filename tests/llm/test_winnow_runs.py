@@ -51,3 +51,45 @@ def test_pieces_of_many_texts_are_those_of_each():
         spans, own = winnow.cut(t)
         assert spans == list(zip(a[i:j].tolist(), b[i:j].tolist())) and own.tolist() == hashes[i:j].tolist()
         assert words[i:j].tolist() == [len(t[x:y].split()) for x, y in spans] and sum(words[i:j]) == len(t.split())
+
+
+def slow_deletions(rows, least):
+    """Characters deleted by brute force: every piece in ``least`` words of pieces that stand earlier, as strings."""
+    seen, gone = set(), {}
+    for i, t in sorted(rows):
+        spans, _ = winnow.cut(t)
+        cut = [t[a:b] for a, b in spans]
+        drop = set()
+        for a in range(len(cut)):
+            for b in range(a + 1, len(cut) + 1):
+                if sum(len(p.split()) for p in cut[a:b]) >= least:
+                    if tuple(cut[a:b]) in seen:
+                        drop |= set(range(a, b))
+                    seen.add(tuple(cut[a:b]))
+                    break
+        gone[i] = len(drop)
+    return gone
+
+
+def test_frequent_lines_inside_longer_passages(spark):
+    rng = random.Random(6)
+    licence = " ".join(words_of(rng, 18))
+    rows = [(i, " ".join(words_of(rng, 30)) + "\n" + licence + "\n" + " ".join(words_of(rng, 30))) for i in range(30)]
+    for i in range(30, 60):  # copies of a passage around the licence, that the first document of it does not have
+        rows.append((i, " ".join(words_of(rng, 9)) + "\n" + "\n".join(rows[i - 20][1].split("\n")[:2]) + "\n" + " ".join(words_of(rng, 25))))
+    rows += [(60, "same again " * 90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.doc_id: r for r in winnow.dedup(docs, report=True).collect()}
+    assert {i: r.cut for i, r in out.items()} == slow_deletions(rows, winnow.LEAST)
+    assert all(licence not in out[i].text for i in range(30, 60)) and all(out[i].cut == 0 for i in range(30))
+
+
+def test_a_later_partner_counts(spark):
+    rng = random.Random(8)
+    common = [" ".join(words_of(rng, 20)) for _ in range(6)]
+    # The first documents have every common line alone; 10 and 11 share all of them in one order.
+    rows = [(i, " ".join(words_of(rng, 30)) + "\n" + c + "\n" + " ".join(words_of(rng, 30))) for i, c in enumerate(common)]
+    rows += [(i, " ".join(words_of(rng, 12)) + "\n" + "\n".join(common)) for i in (10, 11)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.doc_id: r.text for r in winnow.dedup(docs).collect()}
+    assert out[10] == rows[6][1] and out[11] == rows[7][1].split("\n")[0]
