@@ -104,12 +104,19 @@ def accepted(decided: DataFrame, earlier: DataFrame, target: int) -> DataFrame:
     return admission.capped(decided.filter(F.col("decision") == "accepted"), earlier, target)
 
 
+def _cursor_ms(value: Column) -> Column:
+    """A history cursor in milliseconds; seconds have up to ten digits."""
+    n = value.try_cast("bigint")
+    return F.when((n > 0) & (n < 10_000_000_000), n * 1000).when(n > 0, n)
+
+
 def expand(
     pages: DataFrame, battles: DataFrame, known: DataFrame, base: str, low: int | None = None,
     max_pages: int = 1000, zero_limit: int = 2, closed_season: bool = False,
 ) -> dict[str, DataFrame]:
     """Frontier growth of captured pages (``url``, ``seq``, ``owner``, ``page``,
-    ``zero_new_chain``, ``previous_fingerprint``, ``body``): players and next pages."""
+    ``zero_new_chain``, ``previous_fingerprint``, ``body``): players and next pages. A next page that is not followed
+    has its reason in ``navigation``: a cutoff, or an error, as at the page ceiling or where the cursor does not decrease."""
     new = frontier.first_sightings(battles.filter("eligible"), known)
     players = frontier.discovered_players(pages, list_pages.player_tags(F.col("body")), new, base)
     capture = ["url", "seq"]
@@ -129,14 +136,20 @@ def expand(
             F.col("previous_fingerprint"), zero_limit))
     )
     url = F.col("_next.url")
-    usable = is_true(url.isNotNull() & (F.col("page") < max_pages) & T.page_in_window(U.query_param(url, "before"), low, closed_season))
+    reaches = is_true(url.isNotNull() & T.page_in_window(U.query_param(url, "before"), low, closed_season))
+    usable = reaches & is_true(F.col("page") < max_pages)
     same = K.page_key(url) == K.page_key(F.col("url"))
-    cutoff = usable & ((F.col("decision.stop_history") & F.lit(not closed_season)) | same)
+    ends = (F.col("decision.stop_history") & F.lit(not closed_season)) | same
+    cutoff = usable & ends
+    cursor, previous = (_cursor_ms(U.query_param(u, "before")) for u in (url, F.col("url")))
+    backwards = is_true(cursor >= previous) | (F.lit(closed_season) & cursor.isNull())
     judged = step.withColumns({
         "cutoff": is_true(cutoff),
         "cutoff_reason": F.when(usable & same, "same_list_url").when(usable, F.col("decision.reason")),
         "error": F.when(F.col("_next.error").isNotNull(), F.col("_next.error")).when(
-            usable & ~is_true(U.player_list_url_allowed(url, F.col("owner"), base)), "foreign_list_url"),
+            usable & ~is_true(U.player_list_url_allowed(url, F.col("owner"), base)), "foreign_list_url").when(
+            reaches & ~is_true(ends) & ~is_true(F.col("page") < max_pages), "page_ceiling").when(
+            usable & ~is_true(cutoff) & backwards, "cursor_not_decreasing"),
     })
     follow = judged.filter(usable & ~F.col("cutoff") & F.col("error").isNull()).select(
         url.alias("url"), F.lit("list").alias("kind"), F.col("owner").alias("tag"), (F.col("page") + 1).alias("page"),
