@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchloom.llm import class_lm, disclosure, gray_index, host_rules, mixing, quality_trees, spaced_seeds, toxic_spans, trigrams, winnow
+from matchloom.llm import auction_repair, bpe, class_lm, disclosure, gray_index, host_rules, mixing, quality_trees, spaced_seeds, term_pointers, toxic_spans, trigrams, winnow
 from matchloom.llm.base import LOWER, UPPER, remainder
 from matchloom.session import load
 
@@ -107,6 +107,23 @@ def op7_spaced_seeds(spark, sf):
     return spaced_seeds.overlaps(load(spark, sf, "documents"), load(spark, sf, "benchmark")).drop("h")
 
 
+@query
+def op11_term_divergence(spark, sf):
+    return term_pointers.audit(load(spark, sf, "documents"))
+
+
+@query
+def op12_backtracking_bpe(spark, sf):
+    import public_tokenizers
+
+    return bpe.encode(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digests=True)
+
+
+@query
+def op13_auction_repair(spark, sf):
+    return auction_repair.repair(load(spark, sf, "conversations"))
+
+
 _WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _FAILS = "CASE WHEN {rule} THEN 1.0 ELSE 0.0 END"
 
@@ -157,5 +174,89 @@ SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(matched AS INTEGER
 """
 
 
+def _term_divergence_sql() -> str:
+    p = f"1 + CAST({term_pointers.SCALE} AS HUGEINT) * ({{c}} + 1) // ({{n}} + v)"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT i, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), '{UPPER}', '{LOWER}') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lc FROM w GROUP BY 1, 2 HAVING count(DISTINCT i) >= {term_pointers.LEAST_DOCS}),
+l AS (SELECT lang, count(*) AS v, sum(lc) AS ln FROM k GROUP BY 1),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT lang, source, coalesce(any_value(n), 0) AS n, coalesce(any_value(v), 0) AS v, coalesce(any_value(ln), 0) AS ln
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY 1, 2) USING (lang, source) LEFT JOIN l USING (lang) GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, {p.format(c='coalesce(c.c, 0)', n='g.n')} AS p, {p.format(c='k.lc', n='g.ln')} AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM o WHERE part = 'pair' OR r <= {term_pointers.TOP}
+"""
+
+
+def _auction_repair_sql() -> str:
+    """Conversations from the last row to the first: for each state the least text of cost, letters and repaired lines to the end."""
+    after = {0: {"u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    name = {"u": "user", "a": "assistant"}
+
+    def more(value: str, cost: str, letter: str, line: str) -> str:
+        # nine digits of cost, the letters, chr(1), the lines
+        return (f"(lpad(CAST(CAST(substr({value}, 1, 9) AS INTEGER) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr(split_part({value}, chr(1), 1), 10)"
+                f" || chr(1) || {line} || substr({value}, length(split_part({value}, chr(1), 1)) + 2))")
+
+    def inserted(column: str) -> str:
+        out = []
+        for q in range(4):
+            options = [f"{column}{q}"]
+            for r, x in after[q].items():
+                options.append(more(f"{column}{x}", "5", "I", f"'{name[r]}:' || chr(10)"))
+                for r2, x2 in after[x].items():
+                    if x2 != q and x2 != x:
+                        options.append(more(f"{column}{x2}", "10", "II", f"'{name[r]}:' || chr(10) || '{name[r2]}:' || chr(10)"))
+            out.append(f"least({', '.join(options)}) AS v{q}")
+        return ", ".join(out)
+
+    def read(q: int) -> str:
+        # Reroled rows get the only role that may follow; a kept row moves by its initial.
+        (r, x), = after[q].items()
+        keep = {**{i: y for i, y in after[q].items()}, **({"s": 1} if q == 0 else {})}
+        kept = " ".join(f"WHEN n.ini = '{i}' THEN {more(f'v{y}', 'n.extra', 'K', 'n.role || chr(58) || n.text || chr(10)')}" for i, y in keep.items())
+        alone = more(f"v{q}", "n.extra", "K", "n.role || chr(58) || n.text || chr(10)")
+        rerole = more(f"v{x}", "1 + n.extra", "R", f"'{name[r]}:' || n.text || chr(10)")
+        delete = more(f"v{q}", "2", "D", "''")
+        return f"least({delete}, CASE WHEN NOT n.must THEN {rerole} END, CASE WHEN n.must THEN NULL {kept} WHEN n.ini = '' THEN {alone} END) AS w{q}"
+
+    blank = r"[^\x20\x09-\x0D]"
+    # An end that is not allowed costs more than any repair.
+    ends = ", ".join(f"'{'000000000' if q in (0, 3) else '900000000'}' || chr(1) AS w{q}" for q in range(4))
+    return rf"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS k, CAST(i AS BIGINT) AS x FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END FROM bits WHERE k < 8),
+tab AS (SELECT list(x ORDER BY i) AS t FROM bits WHERE k = 8),
+c0 AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS codes FROM conversations),
+c1 AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, codes), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 20 AS kind FROM c0, tab),
+c2 AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c1 WHERE kind <> 0),
+c3 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, substr(role, 1, 1) AS ini FROM c2),
+c4 AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair,
+  max(i) OVER (PARTITION BY conv_id) AS rows FROM c3),
+c5 AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{blank}') THEN 'b' WHEN again THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE 'k' END AS fault FROM c4),
+n AS (SELECT *, fault IN ('b', 'd') AS must, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS extra FROM c5),
+s AS (SELECT conv_id, rows AS i, {inserted('w')} FROM (SELECT conv_id, any_value(rows) AS rows, {ends} FROM n GROUP BY conv_id)
+  UNION ALL SELECT conv_id, i, {inserted('w')} FROM (SELECT n.conv_id, n.i - 1 AS i, {', '.join(read(q) for q in range(4))} FROM s JOIN n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND s.i = n.i)),
+r AS (SELECT conv_id, v0 FROM s WHERE i = 0),
+t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+  count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM n GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(CAST(substr(v0, 1, 9) AS BIGINT), 0) AS BIGINT) AS cost, coalesce(substr(split_part(v0, chr(1), 1), 10), '') AS audit,
+  sha256(coalesce(regexp_replace(substr(v0, length(split_part(v0, chr(1), 1)) + 2), '\n$', ''), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN t ON o.conv_id IS NOT DISTINCT FROM t.conv_id LEFT JOIN r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
+SQL["op11_term_divergence"] = _term_divergence_sql()
+SQL["op13_auction_repair"] = _auction_repair_sql()
 SQL["op2_host_rules"] = _host_rules_sql()
 SQL["op7_spaced_seeds"] = _spaced_seeds_sql()

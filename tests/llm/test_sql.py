@@ -10,7 +10,7 @@ from matchloom.llm.queries import QUERIES, SQL
 def test_query_matches_its_sql(spark, name, scale):
     sf = f"/root/testdata/{scale}"
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     wanted = con.sql(SQL[name])
     df = QUERIES[name](spark, sf)
