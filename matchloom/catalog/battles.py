@@ -149,6 +149,28 @@ _ERROR = f"CASE WHEN {_OUTCOME} <> 'marker_rejected' THEN NULL WHEN k % 22 = 5 T
 _DURATION = "CASE WHEN k % 25 = 7 THEN 400 ELSE 30 + k % 20 END"
 
 
+_BODIES = {
+    0: ("'{\"success\":true,\"html\":\"<div class=''a''>x' || k || '</div>\"}'", "'<div class=''a''>x' || k || '</div>'"),
+    1: ("'<html><body><pre style=''x''> {\"html\":\"<div class=''a''>y &amp; z' || k || '</div>\"} </pre></body></html>'", "'<div class=''a''>y &amp; z' || k || '</div>'"),
+    2: ("'<pre>{\"html\":\"&lt;b&gt;t &amp;amp; u' || k || '&lt;/b&gt;\"}</pre>'", "'<b>t &amp; u' || k || '</b>'"),
+    3: ("'<p>{\"html\":\"plain ' || k || '\"}</p>'", "'plain ' || k"),
+    4: ("'<pre>{&quot;html&quot;:&quot;q' || k || '&quot;}</pre>'", "'q' || k"),
+    5: ("'  <pre>{\"html\":\"<pre>inner'", "NULL"),
+    6: ("'<pre>{\"success\":false,\"html\":\"<i>Requires login</i>\"}</pre>'", "'<i>Requires login</i>'"),
+    7: ("'<div>gateway error</div>'", "NULL"),
+}
+
+@query(f"""
+WITH o AS (SELECT o_orderkey AS k FROM orders)
+SELECT k, CASE k % 8 {' '.join(f'WHEN {i} THEN {html}' for i, (_, html) in _BODIES.items())} END AS html,
+  CASE WHEN k % 8 IN (5, 7) THEN 'not_json' WHEN k % 8 = 6 THEN 'login_required' ELSE 'ok' END AS outcome FROM o
+""")
+def payload_unwrap(spark, sf):
+    """Responses as they come: bare, wrapped by a browser with its markup raw or escaped, and damaged."""
+    body = f"CASE k % 8 {' '.join(f'WHEN {i} THEN {text}' for i, (text, _) in _BODIES.items())} END".replace("''a''", "\\'a\\'").replace("''x''", "\\'x\\'")
+    return replays.unwrap(load(spark, sf, "orders").selectExpr("o_orderkey AS k").selectExpr("k", f"{body} AS body")).select("k", "html", "outcome")
+
+
 @query(f"""
 SELECT tag AS battle_tag, {_OUTCOME} AS outcome, {_ERROR} AS parse_error,
   CASE WHEN {_OUTCOME} IN ('ok', 'marker_rejected') THEN CAST({_DURATION} AS INT) END AS duration_seconds,

@@ -10,6 +10,7 @@ from matchloom.functions import text as X
 from matchloom.functions import urls as U
 from matchloom.functions.expr import is_true
 from matchloom.operators import ordered, select
+from matchloom.session import materialize
 
 FRESH, OVERLAP = 0, 1
 
@@ -108,12 +109,12 @@ def decision(eligible: Column, new: Column, previous_zero: Column, fingerprint:
 
 def chain_decisions(pages: DataFrame, keys: list[str], seq: str, zero_limit: int = 2, span: int = ordered.SPAN) -> DataFrame:
     """Decisions along each player's page chain, and whether a page is still reached."""
-    chained = ordered.run_lengths(pages, keys, seq, F.col("new") == 0, "zero_chain", span)
-    stepped = ordered.lagged(chained, keys, seq, {"_fp": "fingerprint"}, span)
+    stepped = ordered.scan(pages, keys, seq, lag={"_fp": "fingerprint"}, run=("zero_chain", F.col("new") == 0), span=span)
     repeated = is_true((F.col("eligible") > 0) & (F.col("fingerprint") == F.col("_fp")))
     named = stepped.withColumn("repeated", repeated).withColumn(
         "stop_history", repeated | (F.col("zero_chain") >= zero_limit)).drop("_fp")
-    return ordered.before_first(named, keys, seq, F.col("stop_history"), "reached")
+    # Where a group stops is asked of rows that stand written, so the scan runs once.
+    return ordered.before_first(materialize(named, "chains"), keys, seq, F.col("stop_history"), "reached")
 
 
 def cursor_steps(pages: DataFrame, keys: list[str], seq: str, now_ms: int, span: int = ordered.SPAN) -> DataFrame:

@@ -11,25 +11,34 @@ from matchloom.functions import text as X
 from matchloom.functions.expr import let, once
 
 
-def payload_text(body: Column) -> Column:
-    """JSON text of a response: as it is, or, if it starts with markup, what the markup holds, with
-    entities decoded if only that makes it JSON."""
-    wrapped = body.rlike(r"^\s*<")
-    inner = F.get(X.elements(body, "pre"), F.lit(0))
-    bare = F.regexp_replace(F.coalesce(inner, body), "<[^>]+>", "")
-    decoded = bare
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    kept = F.regexp_replace(F.coalesce(inner, F.lit("")), r"(?s)^<pre\b[^>]*>|</pre>$", "")
-    tried = [F.btrim(decoded), F.btrim(kept)]
-    found = F.get(F.filter(F.array(*tried), lambda t: F.try_parse_json(t).isNotNull() & (t != "")), F.lit(0))
-    return F.when(wrapped, F.coalesce(found, F.btrim(decoded))).otherwise(F.btrim(body))
+_PRE = r"(?s)<pre[^>]*>(.*?)</pre>"
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&"))
+
+
+def payload(body: Column) -> Column:
+    """A response's JSON as a variant, null if it is none. A body that starts with markup holds the JSON in its first
+    ``<pre>``, or else is what is left without tags. What holds raw markup is taken as it is; what holds none was escaped by the
+    browser that wrapped it, so its entities are decoded. Text that is no JSON one way is tried the other way."""
+    text = F.btrim(body, F.lit(X.BLANKS))
+    inner = F.when(text.rlike(_PRE), F.regexp_extract(text, _PRE, 1)).otherwise(F.regexp_replace(text, "<[^>]+>", ""))
+    held = F.btrim(F.when(text.startswith("<"), inner).otherwise(text), F.lit(X.BLANKS))
+
+    def read(t: Column) -> Column:
+        return F.try_parse_json(F.when(t != "", t))
+
+    def decoded(t: Column) -> Column:
+        for entity, char in _ENTITIES:
+            t = F.replace(t, F.lit(entity), F.lit(char))
+        return t
+
+    return let(held, lambda t: F.when(~text.startswith("<") | ~t.contains("&"), read(t)).when(
+        t.contains("<"), F.coalesce(read(t), read(decoded(t)))).otherwise(F.coalesce(read(decoded(t)), read(t))))
 
 
 def unwrap(payloads: DataFrame) -> DataFrame:
     """Adds ``html`` and ``outcome`` (ok, not_json, refused, login_required,
     replay_not_found, not_object) to rows with a ``body``."""
-    parsed = once(payloads, {"_j": F.try_parse_json(payload_text(F.col("body")))})
+    parsed = once(payloads, {"_j": payload(F.col("body"))})
     is_object = F.schema_of_variant("_j").startswith("OBJECT")
     html = F.try_variant_get("_j", "$.html", "string")
     refused = F.try_variant_get("_j", "$.success", "boolean") == F.lit(False)

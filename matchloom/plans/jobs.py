@@ -36,13 +36,10 @@ def list_etl(
         chosen.select("battle_tag", "replay_url", "url", "seq", "position"), ["battle_tag"], "seq", "position")
     if known is not None:
         details = select.keep_absent(details, known, ["battle_tag"])
-    # Page order, then place on the page. A page is one string of at most 2^31 bytes, and a battle
-    # takes over 128 of them, so a place fits in 24 bits.
-    observed = chosen.withColumn("obs", F.shiftleft(F.col("seq").cast("bigint"), 24) + F.col("position"))
     return {
         "battles": battles, "eligible": chosen,
         "details": details.withColumn("dedup_key", K.battle_key(F.col("battle_tag"))),
-        "metadata": upsert.fold_metadata(observed, seq="obs"),
+        "metadata": upsert.fold_metadata(chosen, seq="seq", ties=("position",)),
     }
 
 
@@ -185,7 +182,7 @@ def refresh_sources(
     tasks = select.insert_or_ignore(
         known_players, named.withColumn("dedup_key", K.player_key(F.col("tag"), epoch)), ["dedup_key"], "seq", "position")
     boards = good.select("seq", F.posexplode("source_urls").alias("position", "board")).select(
-        (F.col("seq") * max_sources + F.col("position")).alias("seq"), F.col("board").alias("url"))
+        F.struct("seq", "position").alias("seq"), F.col("board").alias("url"))
     credited = tasks.groupBy("url", "seq").agg(F.count(F.lit(1)).alias("new_count"))
     visits = parsed.join(credited, ["url", "seq"], "left").select(
         "url", "seq", F.lit(at).cast("bigint").alias("at"), F.col("page_error").isNull().alias("ok"),
@@ -235,14 +232,16 @@ def build_cohort(
     """Board and profile pages to the cohort's players with their proof."""
     rows = cohort.board_rows(boards, season)
     cohort.require(rows.filter("page_error IS NOT NULL").select("url", "page_error"), "board page unusable")
-    listed = rows.select((F.col("seq") * 1_000_000 + F.col("position")).alias("seq"), "rank", "tag", F.lit(season).alias("rank_season"))
+    # Boards before profiles, then page order, then place on the page.
+    order = F.struct(F.lit(0).alias("kind"), F.col("seq").cast("bigint").alias("seq"), F.col("position").cast("bigint").alias("position"))
+    listed = rows.select(order.alias("seq"), F.col("rank").cast("bigint").alias("rank"), "tag", F.lit(season).alias("rank_season"))
     if not historical:
         return cohort.ranked_players(listed, size).withColumn("rank_season", F.lit(season))
     if profiles is not None:
         proofs = cohort.profile_proofs(profiles, season)
         cohort.require(proofs.filter("page_error IS NOT NULL").select("url", "page_error"), "profile page unusable")
         later = proofs.filter("rank IS NOT NULL").select(
-            (F.col("seq") + (1 << 60)).alias("seq"), F.col("rank").cast("bigint").alias("rank"), "tag", "rank_season")
+            F.struct(F.lit(1).alias("kind"), F.col("seq").cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("position")).alias("seq"), F.col("rank").cast("bigint").alias("rank"), "tag", "rank_season")
         listed = listed.unionByName(later)
     return cohort.historical_pool(listed, size, season)
 
