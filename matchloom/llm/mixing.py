@@ -9,7 +9,10 @@ up in one vector, and the rates are the projection max(0, 1 - posterior . steps)
 kept per document, each iteration is one scan with as many sums as domains. Without bounds in
 play this is the smallest change of rates (weighted by tokens) that meets the targets.
 
-Defined results: null text has no tokens, the prior as its posterior, and a rate like any other; documents whose labels
+Rates can be bounded: documents that a target lacks most are then drawn ``limit`` times at most, so that a few scraps whose posterior
+is but the prior do not stand in for a domain; what the targets miss by it is a warning.
+
+Defined results: null text has no tokens, the prior as its posterior, and a rate like any other (1 with a bound); documents whose labels
 disagree, or with a null domain, are not learnt from; without labelled documents the posterior
 is flat; targets of domains without documents can't be met and the nearest mix is returned;
 repeated rows count each and give repeated results; an empty table gives no rows.
@@ -18,6 +21,7 @@ repeated rows count each and give repeated results; an empty table gives no rows
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +32,7 @@ from matchloom.session import materialize
 BUCKETS = 1 << 14
 #: Bound on the labelled documents learnt from; so many (doc_id, domain) rows are broadcast.
 MAX_ROWS = 20_000
+LIMIT = 4.0  # times that ``mixed`` lets a document be drawn
 EVIDENCE = 30.0  # the words of a text count as so many at most
 
 
@@ -81,16 +86,20 @@ def posteriors(docs: DataFrame, priors: list[float], weights: DataFrame) -> Data
     return exp.select("doc_id", "h", "tokens", F.transform("e", lambda x: x / total).alias("p"))
 
 
-def rate(p: Column, steps: list[float]) -> Column:
-    """max(0, 1 - p . steps)"""
+def rate(p: Column, steps: list[float], limit: float | None = None, tokens: Column | None = None) -> Column:
+    """max(0, 1 - p . steps), at most ``limit``; with ``tokens``, 1 for a text without any, as it moves no domain."""
     moved = F.lit(1.0)
     for i, s in enumerate(steps):
         moved = moved - F.get(p, i) * F.lit(float(s))
-    return F.greatest(F.lit(0.0), moved)
+    bounded = F.greatest(F.lit(0.0), moved)
+    if limit is not None:
+        bounded = F.least(bounded, F.lit(float(limit)))
+    return bounded if tokens is None else F.when(tokens > 0, bounded).otherwise(1.0)
 
 
-def fit(members: DataFrame, targets: list[float], rounds: int = 80, close: float = 1e-6) -> list[float]:
-    """The summed steps after which expected tokens per domain meet ``targets`` (shares of all tokens)."""
+def fit(members: DataFrame, targets: list[float], rounds: int = 80, close: float = 1e-6, limit: float | None = None) -> list[float]:
+    """The summed steps after which expected tokens per domain meet ``targets`` (shares of all tokens). What is still missed after so many
+    rounds, or with rates up to ``limit`` can't be met, is a warning with the shares."""
     k = len(targets)
     mass = members.agg(F.coalesce(F.sum("tokens"), F.lit(0)), *[
         F.coalesce(F.sum(F.col("tokens") * F.get("p", i)), F.lit(0.0)) for i in range(k)]).first()
@@ -104,19 +113,23 @@ def fit(members: DataFrame, targets: list[float], rounds: int = 80, close: float
             break
         # Each domain's step is scaled by its mass: a diagonal metric in which unit steps are safe.
         steps = [s + m / max(x, 1e-9) for s, m, x in zip(steps, miss, share)]
-        r = rate(F.col("p"), steps)
+        r = rate(F.col("p"), steps, limit)
         got = members.agg(*[F.sum(F.col("tokens") * F.get("p", i) * r) for i in range(k)]).first()
-        have = [x / mass[0] for x in got]
+        before, have = have, [x / mass[0] for x in got]
+        if limit is not None and max(abs(a - b) for a, b in zip(have, before)) < close / 10:
+            break  # at the bounds
+    if max(abs(h - t) for h, t in zip(have, targets)) >= 1e-3:
+        warnings.warn(f"domain shares {have} where {targets} were asked for", stacklevel=2)
     return steps
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_ROWS) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_ROWS, limit: float | None = None) -> DataFrame:
     """``doc_id``, ``h``, ``tokens``, ``p`` (posteriors in the order of ``targets``) and ``rate`` of every row."""
     domains, total = list(targets), sum(targets.values())
     priors, weights = train(docs, labelled, domains, max_rows)
     members = materialize(posteriors(docs, priors, weights), "posteriors")
-    steps = fit(members, [targets[d] / total for d in domains])
-    return members.withColumn("rate", rate(F.col("p"), steps))
+    steps = fit(members, [targets[d] / total for d in domains], limit=limit)
+    return members.withColumn("rate", rate(F.col("p"), steps, limit, None if limit is None else F.col("tokens")))
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -125,12 +138,13 @@ def domain_labels(labels: DataFrame) -> DataFrame:
         F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor").alias("domain"))
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """All documents with their ``rate`` and with ``copies``, whole numbers that meet the rates on
-    average: the fraction is rounded by a hash of the row."""
-    known = mix(docs, labelled, targets).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("rate").alias("_r")).groupBy(
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], limit: float = LIMIT) -> DataFrame:
+    """All documents with their ``rate``, ``limit`` at most, and with ``copies``, whole numbers that meet the rates on
+    average: the fraction is rounded by a hash of the row. A sampler draws by these columns; no row is repeated or left out here.
+    Input columns of these two names are replaced. A text without words gets the rate 1."""
+    known = mix(docs, labelled, targets, limit=limit).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("rate").alias("_r")).groupBy(
         "_id", "_h").agg(F.max("_r").alias("_r"))
     text = F.coalesce(docs["text"], F.lit(""))
     joined = docs.join(known, docs["doc_id"].eqNullSafe(known["_id"]) & (F.xxhash64(text) == known["_h"]))
     dice = F.pmod(F.xxhash64(known["_id"], known["_h"], F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    return joined.select(*[docs[c] for c in docs.columns], known["_r"].alias("rate"), F.floor(known["_r"] + dice).cast("int").alias("copies"))
+    return joined.select(*[docs[c] for c in docs.columns if c.lower() not in ("rate", "copies")], known["_r"].alias("rate"), F.floor(known["_r"] + dice).cast("int").alias("copies"))

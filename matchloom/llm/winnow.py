@@ -1,14 +1,22 @@
-"""Line dedup over pieces of lines, cut by winnowing.
+"""Line dedup by winnowing hashes of pieces of lines.
 
 A text's lines are cut into pieces of at most ten words at places that the words themselves choose: behind a word whose
 hash with the next word is the least within two words on either side. So a passage is cut alike, but for a few
-words at its edges, whatever stands before it. From each piece on, the pieces up to ``least`` words or just more are a run,
-named by a hash of its pieces; a run that occurs again after its first occurrence is deleted there. A longer
-repetition is a chain of such runs, so nothing is extended, and no occurrence is compared with one chosen partner: a
+words at its edges, whatever stands before it, also inside a line.
+
+From each piece on, the pieces up to ``least`` words or just more are a window. Of the hashes of two neighbouring pieces in it, the least
+(the last of equals) is its fingerprint; neighbouring windows mostly share one, so a third of the places is chosen. Equal
+windows choose alike: a fingerprint that stands once in the corpus ends the search for its windows, and only fingerprints travel for that.
+Where a fingerprint is met again, the match is extended to both sides: all windows that chose it are joined by a
+hash of all their pieces, and one that occurs again after its first occurrence is deleted there. A longer
+repetition is a chain of such windows. No occurrence is compared with one chosen partner: a
 piece goes if it lies in any ``least`` words of whole pieces that stand earlier, in whatever document. A deleted piece
 always has an equal piece earlier, so the first copy stays.
 
-Order is by ``doc_id`` (null last), then hash of the text, then position. A run in n places costs n rows. Text moves once, to
+Which fingerprints are met again is told to the tasks by a bitmap of at most ``MOST_BITS`` bits, sized by their number; what it lets through
+wrongly only costs rows, it hides nothing.
+
+Order is by ``doc_id`` (null last), then hash of the text, then position. A repeated run in n places costs n rows. Text moves once, to
 meet its deletions.
 
 Defined results: null or blank texts have no pieces and stay as they are (null stays null); fully
@@ -24,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.base import map_batches, ships
+from matchloom.llm.spaced_seeds import bitmap, maybe
 from matchloom.session import materialize
 
 ships(__name__)
@@ -37,6 +46,7 @@ SEED = 3
 WINDOW = 4
 LEAST = 25
 LAST = (1 << 63) - 1
+LEAST_BITS, MOST_BITS = 1 << 14, 1 << 26
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -147,27 +157,56 @@ def grams(words: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, least: int)
     return at, end, mixed((sums[end] - sums[at]) * down[at] + (end - at).astype(np.uint64)).view(np.int64)
 
 
+def chosen(hashes: np.ndarray, at: np.ndarray, end: np.ndarray, two: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window of pieces the place of its fingerprint, and the fingerprints of all places (signed): of two neighbouring pieces (or
+    of one, where windows may have but one), the least in the window, the last of equals."""
+    pairs = h = hashes.view(np.uint64)
+    if two:
+        pairs = mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+    if not len(at):
+        return at, pairs.view(np.int64)
+    width = end - at - two
+    level = np.frexp(width)[1] - 1  # windows are met by two spans of a power of two
+    best, out = np.arange(len(pairs)), np.zeros(len(at), np.int64)
+    for j in range(int(level.max()) + 1):
+        if j:
+            left, right = best[:-(1 << j - 1)], best[1 << j - 1:]
+            best = np.where(pairs[right] <= pairs[left], right, left)
+        here = np.flatnonzero(level == j)
+        left, right = best[at[here]], best[at[here] + width[here] - (1 << j)]
+        out[here] = np.where(pairs[right] <= pairs[left], right, left)
+    return out, pairs.view(np.int64)
+
+
 def pieces_of(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``o``, ``h`` (naming a row), spans of its pieces, and its runs: hash, and place behind, in order of their first pieces."""
+    """``o``, ``h`` (naming a row), spans of its pieces, its runs (hash, place behind, fingerprint, in order of their first pieces), and
+    the ``prints`` of all places that a run chose."""
     def batch(c):
         starts, ends, words, hashes, bounds = pieces_in(c["text"])
         at, to, value = grams(words, hashes, bounds, least)
+        mark, prints = chosen(hashes, at, to, least > LONGEST)
         places = np.searchsorted(at, bounds)
+        where = np.unique(mark)
         to = to - np.repeat(bounds[:-1], np.diff(places))
         apart = lambda x, where: [x[i:j] for i, j in zip(where[:-1], where[1:])]
-        return {"o": c["o"], "h": c["h"], "starts": apart(starts, bounds), "ends": apart(ends, bounds), "to": apart(to, places), "runs": apart(value, places)}
+        return {"o": c["o"], "h": c["h"], "starts": apart(starts, bounds), "ends": apart(ends, bounds), "to": apart(to, places), "runs": apart(value, places),
+                "marks": apart(prints[mark], places), "prints": apart(prints[where], np.searchsorted(where, bounds))}
 
     text = F.coalesce("text", F.lit(""))
     return map_batches(
         docs.select(order_of(F.col("doc_id")).alias("o"), F.xxhash64(text).alias("h"), text.alias("text")), batch,
-        "o bigint, h bigint, starts array<int>, ends array<int>, to array<int>, runs array<bigint>")
+        "o bigint, h bigint, starts array<int>, ends array<int>, to array<int>, runs array<bigint>, marks array<bigint>, prints array<bigint>")
 
 
 def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``o``, ``h``, ``spans`` (start, end in code points, apart and in order) and ``cut`` (pieces deleted)
     of every row that loses something."""
     table = materialize(pieces_of(docs, least), "pieces")
-    prints = table.select("o", "h", F.posexplode("runs").alias("pos", "run"))
+    again = materialize(table.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("_n")).filter("_n > 1").select("print"), "prints")
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * again.count()).bit_length()))
+    zipped = F.arrays_zip(F.col("marks").alias("mark"), F.col("runs").alias("run"))
+    prints = table.select("o", "h", F.posexplode(zipped).alias("pos", "x")).filter(maybe(bitmap(again, bits), F.col("x.mark"), bits)).select(
+        "o", "h", "pos", "x.run")
     place = F.struct("o", "h", "pos")
     firsts = prints.groupBy("run").agg(F.min(place).alias("f"), F.max(place).alias("_l")).filter("f != _l").select("run", "f")
     found = prints.join(firsts, "run").filter("NOT (o = f.o AND h = f.h AND pos = f.pos)").groupBy("o", "h").agg(F.collect_set("pos").alias("at"))

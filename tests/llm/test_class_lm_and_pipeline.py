@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from matchloom.llm import class_lm
+from matchloom.llm import class_lm, mixing
 from matchloom.llm.queries import QUERIES
 
 
@@ -85,6 +85,8 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
         if name == "quality":
             judged = [labels[d] for d in gone if d in labels]
             assert gone and judged.count(1) <= 0.05 * len(judged)
+        elif name == "mix":
+            assert not gone and 0 <= after.agg({"rate": "min"}).first()[0] and after.agg({"rate": "max"}).first()[0] <= mixing.LIMIT
         elif name in ("near_dedup", "decontaminate"):
             assert gone and len(gone) < 0.3 * before.count()
         else:

@@ -89,6 +89,17 @@ def test_mixing_odd_rows(odd, labels, spark):
     rows = mixing.mix(odd, domains, targets).collect()
     assert len(rows) == odd.count() and all(r.rate >= 0 and abs(sum(r.p) - 1) < 1e-9 for r in rows)
     out = mixing.mixed(odd, domains, targets)
-    assert out.count() == odd.count() and out.columns == [*odd.columns, "rate", "copies"]
+    assert out.count() == odd.count() and out.columns == [*[c for c in odd.columns if c != "rate"], "rate", "copies"]
     assert mixing.mix(odd.limit(0), domains, targets).count() == 0
     assert {tuple(r.p) for r in mixing.mix(odd, domains.limit(0), targets).collect()} == {(1 / 3, 1 / 3, 1 / 3)}
+
+
+def test_bounded_rates(spark):
+    """Little of a domain is left: its documents, and empty texts, are not drawn more often than the bound says."""
+    texts = [(i, "plain words of a good text " * 20, "good") for i in range(60)] + [(100, "vile rotten scum", "toxic"), (101, "", None), (102, None, None)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id bigint, text string")
+    labelled = spark.createDataFrame([(i, d) for i, _, d in texts if d], "doc_id bigint, domain string")
+    with pytest.warns(UserWarning, match="asked for"):
+        rows = {r.doc_id: r for r in mixing.mixed(docs, labelled, {"good": 0.5, "toxic": 0.5}, limit=3.0).collect()}
+    assert len(rows) == len(texts) and all(0 <= r.rate <= 3 and r.copies <= 3 for r in rows.values())
+    assert rows[101].rate == rows[102].rate == 1.0 and rows[100].rate > 1

@@ -19,10 +19,13 @@ def test_words_match_the_pattern(odd):
         assert r.w == base.WORD.findall(r.text or "") == [w.decode() for w in (r.text or "").encode().split()]
 
 
-def test_query_against_plain_search(spark, sf):
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    rows = QUERIES["op6_trigram_secrets"](spark, sf).collect()
-    assert len(rows) == len(texts) and sum(r.n_assign + r.n_hex for r in rows) > 0
+def test_query_against_plain_search(spark, sf, tmp_path):
+    planted = [(-1, 'see password = "hunter2xyz" there'), (-2, "key AKIA" + "B7" * 10 + " end"), (-3, "dig " + "0a" * 20 + ", Token:abc"), (-4, "API-KEY: q9.q9_q9==")]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id bigint, text string"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = QUERIES["op6_trigram_secrets"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts) and all(sum(r[n] for r in rows) > 0 for n in ("n_assign", "n_access", "n_hex"))
     for r in rows:
         spans = brute(texts[r.doc_id])
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
