@@ -15,6 +15,7 @@ from matchloom.operators import frontier, gate, upgrade, upsert
 from matchloom.plans import jobs
 from matchloom.session import fresh_dir, load, materialize
 from matchloom.sources import sinks
+from matchloom.streaming import acceptance, ingest
 
 _CARDS = tuple(f"card{i}{form}" for i in range(104) for form in ("", "-ev1", "-hero"))
 CONTRACT = gate.Contract(
@@ -340,3 +341,45 @@ def index_once(spark, sf):
     for batch in (rows.filter(F.col("seq") <= middle), rows.filter(F.col("seq") <= middle), rows):
         sinks.append_index(batch, path)
     return spark.read.parquet(path).select("index_key", "seq")
+
+
+# -- the whole acceptance as a stream ------------------------------------------------------------
+
+
+_ACCEPTED = f"""
+WITH {_VERDICT}, e AS (SELECT tag AS battle_tag, CASE WHEN NOT {AUTHORITATIVE} THEN 'dependency_unresolved' WHEN k % 5 = 4 THEN 'mode' WHEN {_NO_KING.format(s=0)} OR {_NO_KING.format(s=1)} THEN 'king_level' END AS early FROM {FACTS_SQL})
+SELECT battle_tag, coalesce(early, tier) AS tier, CASE WHEN coalesce(early, tier) = '{V.ACCEPT_TIER}' THEN 'accepted' ELSE 'rejected' END AS status FROM j JOIN e USING (battle_tag)
+"""
+
+
+def _accept_stream(spark, sf, target: int) -> str:
+    """The store of responses that arrive in two parts; the second brings the first ones again."""
+    root, mark, source = fresh_dir(spark, "accepted"), fresh_dir(spark, "mark"), fresh_dir(spark, "responses")
+    payloads, metadata = materialize(_payloads(spark, sf), "payloads"), _metadata(spark, sf)
+    middle = payloads.agg(F.max("seq") / 2).scalar()
+    for part in (payloads.filter(F.col("seq") <= middle), payloads):
+        part.write.mode("append").parquet(source)
+        acceptance.accept_into(ingest.table_stream(spark, source, payloads, max_files=100_000), root, mark, metadata, CONTRACT, target)
+    return root
+
+
+@query(_ACCEPTED)
+def stream_acceptance(spark, sf):
+    """Decisions of the continuous job: early ones, the gate's, and acceptances."""
+    return acceptance.decision_store(spark, _accept_stream(spark, sf, 1 << 40)).read().select("battle_tag", "tier", "status")
+
+
+@query(f"""
+WITH a AS ({_ACCEPTED}), n AS (SELECT least(40, count(*)) AS n FROM a WHERE status = 'accepted')
+SELECT 'decisions' AS output, n AS rows FROM n UNION ALL SELECT 'replays', n FROM n UNION ALL SELECT 'index', n FROM n UNION ALL SELECT 'waiting', 0
+""")
+def stream_acceptance_cap(spark, sf):
+    """The same with a target: decisions, documents and index hold the same battles, and nothing waits to be published."""
+    root = _accept_stream(spark, sf, 40)
+    taken = acceptance.decision_store(spark, root).read().filter("status = 'accepted'")
+    parts = {"decisions": taken, "replays": spark.read.parquet(f"{root}/replays"), "index": spark.read.parquet(f"{root}/index")}
+    waiting = len(sinks.waiting_batches(spark, f"{root}/outbox"))
+    out = taken.limit(0).agg(F.lit("waiting").alias("output"), (F.count(F.lit(1)) + waiting).alias("rows"))
+    for name, df in parts.items():
+        out = out.unionByName(df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("rows")))
+    return out

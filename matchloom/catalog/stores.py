@@ -175,3 +175,56 @@ SELECT count(*) FILTER (WHERE user_id % 3 = 0) AS seen, count(*) FILTER (WHERE u
 def visit_overview(spark, sf):
     states = load(spark, sf, "events").groupBy("user_id").agg(F.max(F.col("event_id") % 5000).alias("due"))
     return revisit.visit_overview(states, states.filter("user_id % 3 = 0"), "user_id", 4000)
+
+
+class _Crash(Exception):
+    """Stands for a driver that is lost."""
+
+
+@query("SELECT 'battle|B' || o_custkey AS index_key, min(o_orderkey) AS seq FROM orders GROUP BY 1")
+def outbox_recovery(spark, sf):
+    """Index records staged with their data and published later, with a crash before a publication and one within: nothing is
+    lost, nothing is there twice."""
+    outbox, path = fresh_dir(spark, "outbox"), fresh_dir(spark, "index")
+    rows = load(spark, sf, "orders").selectExpr("'battle' AS kind", "'B' || o_custkey AS battle_tag", "'u' || o_orderkey AS url", "o_orderkey AS seq")
+    width = rows.agg((F.max("seq") + 1) / 4).scalar()
+
+    def batch(number: int, crash: str = "") -> None:
+        sinks.stage_index(rows.filter(F.floor(F.col("seq") / width) == number), outbox, number)
+        if crash == "before":
+            raise _Crash
+        if crash == "within":
+            waiting = [f"{outbox}/batch_id={b}" for b in sinks.waiting_batches(spark, outbox)]
+            sinks.append_index(spark.read.parquet(*waiting), path)
+            raise _Crash
+        sinks.publish_index(spark, outbox, path)
+
+    for number, crash in enumerate(("", "before", "within", "")):
+        try:
+            batch(number, crash)
+        except _Crash:
+            sinks.waiting_batches(spark, outbox)
+    return spark.read.parquet(path).select("index_key", "seq")
+
+
+@query("SELECT 'B' || o_orderkey AS battle_tag, o_custkey AS seq FROM orders")
+def import_ledger(spark, sf):
+    """Files imported once each, over a run that is lost between its claim and its record and one that finds nothing new."""
+    source, ledger, into = fresh_dir(spark, "manifests"), fresh_dir(spark, "ledger"), fresh_dir(spark, "imported")
+    rows = load(spark, sf, "orders").selectExpr("'B' || o_orderkey AS battle_tag", "o_custkey AS seq", "o_orderkey % 3 AS part")
+
+    def parse(lines):
+        return lines.select(F.from_json("value", "battle_tag string, seq bigint").alias("j")).select("j.*")
+
+    def lost(lines):
+        parse(lines).limit(10).write.mode("overwrite").parquet(f"{into}/n=1")
+        raise _Crash
+
+    for part, reader in ((0, parse), (1, lost), (2, parse)):
+        rows.filter(F.col("part") == part).drop("part").write.mode("append").json(source)
+        try:
+            readers.import_new(spark, source, ledger, into, reader)
+        except _Crash:
+            continue
+    readers.import_new(spark, source, ledger, into, parse)
+    return spark.read.parquet(into).select("battle_tag", "seq")

@@ -11,7 +11,7 @@ from matchloom.catalog.cohorts import _BATTLE, _MEMBER_SQL, _members
 from matchloom.catalog.registry import query
 from matchloom.catalog.work import _FOLD, _VISIT_STATE
 from matchloom.session import fresh_dir, load
-from matchloom.streaming import ingest, visits
+from matchloom.streaming import counters, ingest, visits
 from matchloom.streaming.store import Store
 
 
@@ -140,3 +140,15 @@ def stream_seeds(spark, sf):
     return spark.read.parquet(out).select("value")
 
 
+@query(f"""
+WITH t AS (SELECT user_id AS id, arg_max(kind, event_id) AS kind, arg_max(status, event_id) AS status FROM (SELECT user_id, event_id, {D.TASK['kind']} AS kind,
+  CASE event_id % 5 WHEN 1 THEN 'done' WHEN 3 THEN 'dead' WHEN 4 THEN 'inflight' ELSE 'pending' END AS status FROM events) GROUP BY 1)
+SELECT kind, status, count(*) AS n FROM t GROUP BY ALL
+""")
+def maintained_counts(spark, sf):
+    """Tasks per kind and status after every change, kept by differences."""
+    root, mark = fresh_dir(spark, "counters"), fresh_dir(spark, "mark")
+    state = {"id": "user_id", "kind": D.TASK["kind"], "seq": "event_id",
+             "status": "CASE event_id % 5 WHEN 1 THEN 'done' WHEN 3 THEN 'dead' WHEN 4 THEN 'inflight' ELSE 'pending' END"}
+    _in_batches(spark, sf, "events", "event_id", lambda new: counters.counted_into(_select(new, state), root, mark, "id", ["kind", "status"]))
+    return Store(spark, f"{root}/counts", ["kind", "status"], buckets=1).read()

@@ -4,15 +4,16 @@ a malformed manifest stops the job before anything is written."""
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom import schemas as S
 from matchloom.functions import text as X
-from matchloom.operators import select, setops
+from matchloom.operators import select
 from matchloom.operators.cohort import EvidenceError, require
-from matchloom.operators.upgrade import replay_index
+from matchloom.session import folders, is_whole
 
 
 def pages_table(spark: SparkSession, path: str) -> DataFrame:
@@ -63,29 +64,48 @@ def index_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows.filter(F.col("_bad").isNull()).drop("_bad", "value"), rows.filter(F.col("_bad").isNotNull()).select("value")
 
 
-def index_urls(rows: DataFrame) -> DataFrame:
-    return replay_index(rows)
-
-
 def replay_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Replay documents of any schema version; fields a version lacks are null. A line that is no
     document stops the job that reads it."""
     return spark.read.schema(S.REPLAYS).option("mode", "FAILFAST").json(path).withColumn("source_path", F.col("_metadata.file_path"))
 
 
-def completed_runs(tasks: DataFrame, decisions: DataFrame) -> DataFrame:
-    return setops.completed_battles(tasks, decisions)
-
-
-def seen_players(tasks: DataFrame) -> DataFrame:
-    return setops.seen_players(tasks)
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Path, size and modification time of the files of a folder; their content is not read."""
+    return spark.read.format("binaryFile").load(path).select(
+        "path", F.col("length").alias("size"), F.unix_micros("modificationTime").alias("mtime_us"))
 
 
 def not_imported(spark: SparkSession, path: str, ledger: DataFrame) -> DataFrame:
     """Files not in the ledger with this very size and modification time."""
-    files = spark.read.format("binaryFile").load(path).select(
-        "path", F.col("length").alias("size"), F.unix_micros("modificationTime").alias("mtime_us"))
-    return files.join(ledger.select("path", "size", "mtime_us"), ["path", "size", "mtime_us"], "left_anti")
+    return _files(spark, path).join(ledger.select("path", "size", "mtime_us"), ["path", "size", "mtime_us"], "left_anti")
+
+
+def import_new(spark: SparkSession, path: str, ledger: str, into: str, parse: Callable[[DataFrame], DataFrame]) -> int:
+    """Load the files of a folder that were not imported before, each once, in three steps that a failure may cut anywhere: the files are claimed
+    under a number, ``parse`` turns their paths and lines (``path``, ``value``) into rows written under that number, and the claim is recorded in the
+    ledger. A claim without its record is done again as claimed, replacing its rows. Returns how many files the ledger gained."""
+    claims = f"{ledger}/claims"
+    recorded = {int(n.split("=")[1]) for n in folders(spark, f"{ledger}/done") if is_whole(spark, f"{ledger}/done/{n}")}
+    claimed = {int(n.split("=")[1]) for n in folders(spark, claims) if is_whole(spark, f"{claims}/{n}")}
+    gained = 0
+    for number in sorted(claimed - recorded):
+        gained += _imported(spark, number, ledger, into, parse)
+    known = spark.read.parquet(*[f"{ledger}/done/n={n}" for n in recorded | claimed]) if recorded | claimed else None
+    fresh = _files(spark, path) if known is None else not_imported(spark, path, known)
+    number = max(claimed | recorded, default=-1) + 1
+    fresh.write.mode("overwrite").parquet(f"{claims}/n={number}")
+    return gained + _imported(spark, number, ledger, into, parse)
+
+
+def _imported(spark: SparkSession, number: int, ledger: str, into: str, parse: Callable[[DataFrame], DataFrame]) -> int:
+    files = spark.read.parquet(f"{ledger}/claims/n={number}")
+    names = [r.path for r in files.select("path").collect()]
+    if names:
+        lines = spark.read.text(names).select(F.col("_metadata.file_path").alias("path"), "value")
+        parse(lines).write.mode("overwrite").parquet(f"{into}/n={number}")
+    files.write.mode("overwrite").parquet(f"{ledger}/done/n={number}")
+    return len(names)
 
 
 def frozen_contract(stored: DataFrame, payload: DataFrame, n_tasks: int) -> DataFrame:
