@@ -178,62 +178,70 @@ def chosen(hashes: np.ndarray, at: np.ndarray, end: np.ndarray, two: bool = True
     return out, pairs.view(np.int64)
 
 
-def pieces_of(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``o``, ``h`` (naming a row), spans of its pieces, its runs (hash, place behind, fingerprint, in order of their first pieces), and
-    the ``prints`` of all places that a run chose."""
+def windows_of(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``o``, ``h`` (naming a row), its windows from each piece on as long as there are words enough (hash, fingerprint, number of pieces, start and end in code
+    points), and the ``prints`` of all places that a window chose."""
     def batch(c):
         starts, ends, words, hashes, bounds = pieces_in(c["text"])
         at, to, value = grams(words, hashes, bounds, least)
         mark, prints = chosen(hashes, at, to, least > LONGEST)
-        places = np.searchsorted(at, bounds)
-        where = np.unique(mark)
-        to = to - np.repeat(bounds[:-1], np.diff(places))
+        places, where = np.searchsorted(at, bounds), np.unique(mark)
         apart = lambda x, where: [x[i:j] for i, j in zip(where[:-1], where[1:])]
-        return {"o": c["o"], "h": c["h"], "starts": apart(starts, bounds), "ends": apart(ends, bounds), "to": apart(to, places), "runs": apart(value, places),
-                "marks": apart(prints[mark], places), "prints": apart(prints[where], np.searchsorted(where, bounds))}
+        return {"o": c["o"], "h": c["h"], "runs": apart(value, places), "marks": apart(prints[mark], places), "sizes": apart(to - at, places),
+                "starts": apart(starts[at], places), "ends": apart(ends[to - 1], places), "prints": apart(prints[where], np.searchsorted(where, bounds))}
 
     text = F.coalesce("text", F.lit(""))
     return map_batches(
         docs.select(order_of(F.col("doc_id")).alias("o"), F.xxhash64(text).alias("h"), text.alias("text")), batch,
-        "o bigint, h bigint, starts array<int>, ends array<int>, to array<int>, runs array<bigint>, marks array<bigint>, prints array<bigint>")
+        "o bigint, h bigint, runs array<bigint>, marks array<bigint>, sizes array<tinyint>, starts array<int>, ends array<int>, prints array<bigint>")
+
+
+def _bits(hashes: DataFrame) -> int:
+    """Size of a bitmap of these hashes: sixteen bits for each, within bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (16 * hashes.count()).bit_length()))
 
 
 def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``o``, ``h``, ``spans`` (start, end in code points, apart and in order) and ``cut`` (pieces deleted)
     of every row that loses something."""
-    table = materialize(pieces_of(docs, least), "pieces")
+    table = materialize(windows_of(docs, least), "windows")
     again = materialize(table.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("_n")).filter("_n > 1").select("print"), "prints")
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * again.count()).bit_length()))
-    zipped = F.arrays_zip(F.col("marks").alias("mark"), F.col("runs").alias("run"))
-    prints = table.select("o", "h", F.posexplode(zipped).alias("pos", "x")).filter(maybe(bitmap(again, bits), F.col("x.mark"), bits)).select(
-        "o", "h", "pos", "x.run")
-    place = F.struct("o", "h", "pos")
-    firsts = prints.groupBy("run").agg(F.min(place).alias("f"), F.max(place).alias("_l")).filter("f != _l").select("run", "f")
-    found = prints.join(firsts, "run").filter("NOT (o = f.o AND h = f.h AND pos = f.pos)").groupBy("o", "h").agg(F.collect_set("pos").alias("at"))
-    spans = found.join(table.select("o", "h", "starts", "ends", "to").dropDuplicates(["o", "h"]), ["o", "h"])
+    bits = _bits(again)
+    zipped = F.arrays_zip(*[F.col(c).alias(n) for c, n in (("marks", "mark"), ("runs", "run"), ("sizes", "n"), ("starts", "start"), ("ends", "end"))])
+    windows = table.select("o", "h", F.posexplode(zipped).alias("pos", "x")).filter(maybe(bitmap(again, bits), F.col("x.mark"), bits)).select(
+        "o", "h", "pos", "x.run", "x.n", "x.start", "x.end")
+    firsts = windows.groupBy("run").agg(F.min(F.struct("o", "h", "pos")).alias("f"), F.count("*").alias("_n")).filter("_n > 1").select("run", "f")
+    later = windows.join(firsts, "run").filter("NOT (o = f.o AND h = f.h AND pos = f.pos)")
+    found = later.groupBy("o", "h").agg(F.collect_set(F.struct("pos", "n", "start", "end")).alias("met"))
 
     def merged(c):
         out = {"o": c["o"], "h": c["h"], "spans": [], "cut": []}
-        for at, starts, ends, to in zip(c["at"], c["starts"], c["ends"], c["to"]):
-            joined: list[list[int]] = []
-            for a in sorted(at):
-                if joined and a <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], to[a])
+        for met in c["met"]:
+            joined: list[list[int]] = []  # first piece, piece behind, start, end
+            for pos, n, start, end in sorted((w["pos"], w["n"], w["start"], w["end"]) for w in met):
+                if joined and pos <= joined[-1][1]:
+                    if pos + n > joined[-1][1]:
+                        joined[-1][1], joined[-1][3] = pos + n, end
                 else:
-                    joined.append([a, to[a]])
-            out["spans"].append([{"start": starts[a], "end": ends[b - 1]} for a, b in joined])
-            out["cut"].append(sum(b - a for a, b in joined))
+                    joined.append([pos, pos + n, start, end])
+            out["spans"].append([{"start": start, "end": end} for _, _, start, end in joined])
+            out["cut"].append(sum(b - a for a, b, _, _ in joined))
         return out
 
-    return map_batches(spans, merged, "o bigint, h bigint, spans array<struct<start:int,end:int>>, cut int")
+    return map_batches(found, merged, "o bigint, h bigint, spans array<struct<start:int,end:int>>, cut int")
 
 
 def dedup(docs: DataFrame, least: int = LEAST, report: bool = False) -> DataFrame:
     """The documents without repeated runs; with ``report`` also ``removed`` (spans) and ``cut``."""
-    gone = deletions(docs, least).withColumnsRenamed({"o": "_o", "h": "_h", "spans": "_spans", "cut": "_cut"})
+    gone = materialize(deletions(docs, least), "deletions").withColumnsRenamed({"o": "_lost_o", "h": "_lost_h", "spans": "_lost_spans", "cut": "_lost_cut"})
     text = F.coalesce(docs["text"], F.lit(""))
-    joined = docs.join(gone, (order_of(docs["doc_id"]) == gone["_o"]) & (F.xxhash64(text) == gone["_h"]), "left")
-    cuts = gone["_spans"]
+    named = F.xxhash64(order_of(docs["doc_id"]), F.xxhash64(text))
+    rows = gone.select(F.xxhash64("_lost_o", "_lost_h"))
+    bits = _bits(rows)
+    loses = maybe(bitmap(rows, bits), named, bits)
+    # Only texts that lose something move; the bitmap lets a few others come along.
+    joined = docs.filter(loses).join(gone, (order_of(docs["doc_id"]) == F.col("_lost_o")) & (F.xxhash64(text) == F.col("_lost_h")), "left")
+    cuts = F.col("_lost_spans")
     # What stands before each span, and after the last one.
     kept = F.transform(cuts, lambda s, i: F.substring(
         docs["text"], F.when(i == 0, F.lit(1)).otherwise(F.get(cuts, i - 1)["end"] + 1),
@@ -242,10 +250,12 @@ def dedup(docs: DataFrame, least: int = LEAST, report: bool = False) -> DataFram
     shorter = F.regexp_replace(F.concat(F.array_join(kept, ""), rest), r"\n(?:[\x20\x09\x0B-\x0D]*\n)+", "\n")
     new = F.when(cuts.isNull(), docs["text"]).otherwise(F.btrim(shorter, F.lit("\n")))
     made = joined.select(*[new.alias(c) if c == "text" else docs[c] for c in docs.columns], F.coalesce(cuts, F.array()).alias("_removed"),
-                         F.coalesce(gone["_cut"], F.lit(0)).alias("_pieces"))
+                         F.coalesce(F.col("_lost_cut"), F.lit(0)).alias("_pieces"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         made = made.withColumn("n_chars", F.when(F.size("_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    nothing = F.array().cast(made.schema["_removed"].dataType)
+    made = made.unionByName(docs.filter(~loses).withColumns({"_removed": nothing, "_pieces": F.lit(0)}))
     if report:
         return made.withColumnsRenamed({"_removed": "removed", "_pieces": "cut"})
     return made.drop("_removed", "_pieces")

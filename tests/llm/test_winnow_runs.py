@@ -84,6 +84,24 @@ def test_frequent_lines_inside_longer_passages(spark):
     assert all(licence not in out[i].text for i in range(30, 60)) and all(out[i].cut == 0 for i in range(30))
 
 
+def test_windows_choose_the_least_of_their_pairs():
+    rng = np.random.default_rng(3)
+    for two in (True, False):
+        for _ in range(200):
+            n = int(rng.integers(1, 60))
+            hashes = rng.integers(-4, 4, n)  # many ties
+            at = np.arange(n)
+            end = np.minimum(n, at + rng.integers(2, 9, n)) if two else np.minimum(n, at + rng.integers(1, 9, n))
+            end = np.maximum.accumulate(end)
+            fits = end - at >= (2 if two else 1)
+            at, end = at[fits], end[fits]
+            place, prints = winnow.chosen(hashes, at, end, two)
+            values = prints.view(np.uint64)
+            for a, b, p in zip(at, end, place):
+                inside = values[a:b - two]
+                assert p == a + len(inside) - 1 - int(inside[::-1].argmin())
+
+
 def test_a_later_partner_counts(spark):
     rng = random.Random(8)
     common = [" ".join(words_of(rng, 20)) for _ in range(6)]
