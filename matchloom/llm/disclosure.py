@@ -3,12 +3,13 @@
 Personal data of fixed forms (mail and network addresses, card and phone numbers) is found by pattern. Each distinct value is
 a protected entity. The words near an entity are its context; over the whole corpus,
 
-    disclosure(word; entity) = log(N * n(word, entity) / (n(word) * n(entity))) / log(N / n(entity))
+    disclosure(word; entity) = log(P(word | entity) * N / n(word)) / log(N / n(entity))
 
 is the share of the entity's information that the word reveals (1: the word occurs with the
 entity only). n(word) and N count documents; n(word, entity) and n(entity) count distinct contexts, so
-copies of one passage are one piece of evidence. Words with enough evidence (``support``
-contexts) and a disclosure of ``threshold`` or more become spans: generalised to their class (number,
+copies of one passage are one piece of evidence. P(word | entity) is shrunk to what the word is near any entity of the kind:
+(n(word, entity) + prior * P(word | kind)) / (n(entity) + prior). So an entity of any number of contexts is looked at, and one met once
+needs words that are next to unknown elsewhere. Words with a disclosure of ``threshold`` or more become spans: generalised to their class (number,
 name, word) if the class itself discloses less, else removed.
 
 The scan leaves one narrow row per document and the contexts; word frequencies are then counted for the words seen in
@@ -36,7 +37,7 @@ ships(__name__)
 
 KINDS = ["email", "ip", "card", "phone"]
 REACH = 6  # words on either side
-SUPPORT = 3
+PRIOR = 2.0  # contexts that the kind of an entity counts for
 THRESHOLD = 0.8
 BITS = 1 << 21
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -99,12 +100,23 @@ def contexts(text: str, spans: list[tuple[str, int, int]], reach: int = REACH):
         return []
     words = [m.span() for m in WORD.finditer(text)]
     starts = [a for a, _ in words]
-    taken = sorted((a, b) for _, a, b in spans)
+    taken: list[list[int]] = []  # what the spans cover, apart and in order
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    begins = [a for a, _ in taken]
+
+    def free(x: int, y: int) -> bool:
+        i = bisect_left(begins, y) - 1
+        return i < 0 or taken[i][1] <= x
+
     out = []
     for kind, a, b in spans:
         first, last = max(0, bisect_right(starts, a) - 1), bisect_left(starts, b)
         near = words[max(0, first - reach):first] + words[last:last + reach]
-        terms = [(t, x, y) for x, y in near if (t := term(text[x:y])) and not any(p < y and x < q for p, q in taken)]
+        terms = [(t, x, y) for x, y in near if free(x, y) and (t := term(text[x:y]))]
         value = text[a:b].translate(FOLD) if kind in ("email", "ip") else _digits(text[a:b])
         seen = xxhash.xxh64_intdigest(" ".join(t for t, _, _ in terms), 42) - (1 << 63)
         out.append((f"{kind}:{value}", seen, terms))
@@ -164,33 +176,37 @@ def kind_of(word):
     return F.when(word.rlike("^[0-9.,:/-]+$"), "number").otherwise("word")
 
 
-def telling(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def telling(docs: DataFrame, found: DataFrame, prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
     """``entity``, ``term`` and ``action`` (generalise or remove) of every word that gives an entity away."""
     each = found.select(F.explode("near").alias("x")).select("x.entity", "x.context", "x.terms")
     once = each.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
-    entities = once.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support)
+    kind = F.substring_index("entity", ":", 1)
+    entities = once.groupBy("entity").agg(F.count("*").alias("n_e"))
+    kinds = once.groupBy(kind.alias("_kind")).agg(F.count("*").alias("_kind_n"))  # one row a kind
     pairs = once.select("entity", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
-                        .join(entities, "entity"), "pairs")
+    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te")).join(entities, "entity").withColumn("_kind", kind), "pairs")
+    near_kind = pairs.groupBy("_kind", "term").agg(F.sum("n_te").alias("_near")).join(F.broadcast(kinds), "_kind")
+    pairs = pairs.join(near_kind.withColumn("p_kind", F.col("_near") / F.col("_kind_n")).select("_kind", "term", "p_kind"), ["_kind", "term"])
     terms = document_counts(docs, pairs.select("term").distinct())
     n = float(max(2, docs.count()))
-    share = F.log(F.lit(n) * F.col("n_te") / (F.col("n") * F.col("n_e"))) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
+    given = (F.col("n_te") + prior * F.col("p_kind")) / (F.col("n_e") + prior)
+    share = F.log(F.lit(n) * given / F.col("n")) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
     strong = pairs.join(terms, "term").withColumn("share", share).filter(F.col("share") >= threshold)
     # The class of the word, over all contexts of the entity against all contexts.
     classes = once.select("entity", F.explode(F.array_distinct(F.transform("terms", lambda t: kind_of(t["term"])))).alias("kind"))
     by_class = classes.groupBy("kind").agg(F.count("*").alias("n_k"))
-    with_class = strong.withColumn("kind", kind_of(F.col("term"))).join(
+    with_class = strong.drop("_kind").withColumn("kind", kind_of(F.col("term"))).join(
         classes.groupBy("entity", "kind").agg(F.count("*").alias("n_ke")), ["entity", "kind"]).join(F.broadcast(by_class), "kind")
     contexts_n = F.lit(float(max(2, once.count())))
     general = F.log(contexts_n * F.col("n_ke") / (F.col("n_k") * F.col("n_e"))) / F.greatest(F.log(contexts_n / F.col("n_e")), F.lit(1e-9))
     return with_class.select("entity", "term", F.when(general < threshold, "generalise").otherwise("remove").alias("action"))
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def sanitise(docs: DataFrame, prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and ``found``, all spans (kind, start, end) of every row: base kinds as listed, then
     ``generalise`` and ``remove``, each by start."""
     found = materialize(scan(docs), "found")
-    words = telling(docs, found, support, threshold)
+    words = telling(docs, found, prior, threshold)
     uses = found.select("key", F.explode("near").alias("x")).select("key", "x.entity", F.explode("x.terms").alias("t"))
     marked = uses.select("key", "entity", "t.*").join(words, ["entity", "term"]).groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct(F.col("action").alias("kind"), "start", "end"))).alias("more"))

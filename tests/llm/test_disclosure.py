@@ -53,6 +53,48 @@ def test_copies_are_one_piece_of_evidence(spark, text):
     assert all(len(r.found) == (r.doc_id < 100) for r in found)
 
 
+def slow_telling(rows):
+    """(doc_id, word start, word end) of telling words by plain counting over all documents."""
+    import math
+
+    terms = lambda t: {disclosure.term(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t)}
+    n_word, seen, uses = {}, {}, []
+    for i, t in rows:
+        for w in terms(t):
+            n_word[w] = n_word.get(w, 0) + 1
+        for entity, context, near in disclosure.contexts(t, brute(t)):
+            seen[entity, context] = {w for w, _, _ in near}
+            uses += [(i, entity, w, a, b) for w, a, b in near]
+    n_e, n_te, kind_n, kind_te = {}, {}, {}, {}
+    for (e, _), ws in seen.items():
+        k = e.split(":")[0]
+        n_e[e], kind_n[k] = n_e.get(e, 0) + 1, kind_n.get(k, 0) + 1
+        for w in ws:
+            n_te[e, w], kind_te[k, w] = n_te.get((e, w), 0) + 1, kind_te.get((k, w), 0) + 1
+    out = set()
+    for i, e, w, a, b in uses:
+        k = e.split(":")[0]
+        given = (n_te[e, w] + 2 * kind_te[k, w] / kind_n[k]) / (n_e[e] + 2)
+        if math.log(len(rows) * given / n_word[w]) / max(math.log(len(rows) / n_e[e]), 1e-9) >= 0.8:
+            out.add((i, a, b))
+    return out
+
+
+def test_method_spans_against_plain_counting(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {(r.doc_id, s.start, s.end) for r in disclosure.sanitise(docs).collect() for s in r.found if s.kind in ("generalise", "remove")}
+    assert got and got == slow_telling([(r.doc_id, r.text or "") for r in docs.collect()])
+
+
+def test_many_values_in_one_text_take_no_square():
+    import time
+
+    text = " ".join(f"word{i} u{i}@m{i}.example.org" for i in range(8000))
+    begun = time.process_time()
+    assert len(disclosure.contexts(text, disclosure.base_spans(text))) == 8000
+    assert time.process_time() - begun < 5
+
+
 def test_odd_rows(odd):
     rows = disclosure.sanitise(odd).collect()
     assert len(rows) == odd.count() and not any(r.found for r in rows if r.doc_id in (0, 1, 2))
