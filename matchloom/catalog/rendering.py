@@ -30,20 +30,26 @@ def _deck_list(side: int) -> str:
     return f"array_join(transform(sequence(0, 7), j -> {_slug(side, 'j')}), ',')"
 
 
-def _player(side: int, tag: str) -> str:
-    label = f"'<div class=\"card-level\">Lvl ' || (9 + (k + j) % 8) || '</div>'"
+def _tag(name: str, attributes: dict[str, str], inside: str | None = None) -> str:
+    """SQL text of an element: attribute values and content are SQL expressions."""
+    opened = f"'<{name}'" + "".join(f" || ' {k}=\"' || {v} || '\"'" for k, v in attributes.items()) + " || '>'"
+    return opened if inside is None else f"{opened} || {inside} || '</{name}>'"
+
+
+def _seat(side: int, tag: str) -> str:
+    """One player's part of a round: tower, cards, name."""
+    level = _tag("em", {"class": "'card-level'"}, "'Lvl ' || (9 + (k + j) % 8)")
     if side == 0:
-        label = f"CASE WHEN k % 10 = 3 AND j = 0 THEN '' ELSE {label} END"
-    cards = (
-        "array_join(transform(sequence(0, 7), j -> "
-        f"'<li><span><img class=\"deck_card\" data-card-key=\"' || {_slug(side, 'j')} || '\"></span>' || {label} || '</li>'), '')"
-    )
-    return (
-        f"'<section><a class=\"player_name_header\" href=\"{BASE}/player/' || {tag} || '/battles\">p</a>"
-        f"<div id=\"deck_' || {tag} || '\">' || {cards} || '</div>"
-        "<div class=\"deck_tower_card__container\"><img class=\"deck_card deck_card_key_tower' || (k % 4) || '\">"
-        f"<div class=\"level\"><div>Tower</div><div>Lvl ' || (14 + (k + {side}) % 3) || '</div></div></div></section>'"
-    )
+        level = f"CASE WHEN k % 10 = 3 AND j = 0 THEN '' ELSE {level} END"
+    image = _tag("img", {"data-card-key": _slug(side, "j"), "class": "'deck_card'"})
+    card = _tag("p", {}, f"{level} || {_tag('u', {}, image)}")
+    cards = f"array_join(transform(sequence(0, 7), j -> {card}), ' ')"
+    tower = _tag("td", {"class": "'deck_tower_card__container'"},
+                 _tag("b", {"class": "'level'"}, f"'Keep, Lvl ' || (14 + (k + {side}) % 3)") + " || "
+                 + _tag("img", {"class": "'deck_card_key_tower' || (k % 4) || ' deck_card'"}))
+    deck = _tag("td", {}, _tag("div", {"id": f"'deck_' || {tag}"}, cards))
+    name = _tag("th", {}, _tag("a", {"href": f"'{BASE}/player/' || {tag} || '/battles'", "class": "'player_name_header'"}, tag))
+    return _tag("tr", {}, f"{tower} || {deck} || {name}")
 
 
 def battle_facts(orders: DataFrame) -> DataFrame:
@@ -73,37 +79,32 @@ _POPUP = (
 _KING = "CASE WHEN k % 2 = 0 THEN 7728 ELSE 5000 + k % 100 END"
 
 
-def _hp(first: str, second: str) -> str:
-    def side(name: str, extra: str) -> str:
-        return (
-            f"' data-{name}-king=\"' || ({_KING}) || '\" data-{name}-princess0=\"' || (k % 3000) || "
-            f"'\" data-{name}-princess1=\"' || (k % 7) || '\" data-{name}-total=\"' || "
-            f"(({_KING}) + k % 3000 + k % 7 + {extra}) || '\"'"
-        )
-
-    return f"'<span class=\"hp-both-popup\"' || {side(first, 'CASE WHEN k % 19 = 7 THEN 1 ELSE 0 END')} || {side(second, '0')} || '></span>'"
+def _towers(first: str, second: str) -> str:
+    """Tower health at the end; the first side's total is at times off by one."""
+    values = {}
+    for name, extra in ((first, "CASE WHEN k % 19 = 7 THEN 1 ELSE 0 END"), (second, "0")):
+        parts = {"total": f"({_KING}) + k % 3000 + k % 7 + {extra}", "princess1": "k % 7", "princess0": "k % 3000", "king": _KING}
+        values |= {f"data-{name}-{part}": f"({value})" for part, value in parts.items()}
+    return _tag("i", {"class": "'hp-both-popup'", **values}, "''")
 
 
 def _block(mirrored: bool) -> str:
+    """A battle: its mode and towers, the round as a table, then a footer of buttons."""
     team, opponent = ("rival", "owner") if mirrored else ("owner", "rival")
     s, o = (1, 0) if mirrored else (0, 1)
-    hp = _hp("oppo", "team") if mirrored else _hp("team", "oppo")
-    matchup = (
-        "CASE WHEN k % 23 = 9 THEN '' ELSE '<button class=\"matchup_button\" data-index=\"' || (1000000 + k) || "
-        "'\" data-players=\"1v1\" data-team-deck=\"' || "
-        f"CASE WHEN k % 31 = 8 THEN 'zzz' ELSE {_deck_list(s)} END || '\" data-opponent-deck=\"' || {_deck_list(o)} || "
-        "'\" data-game-mode-id=\"' || (72000000 + k % 5) || '\"></button>' END"
-    )
     crowns = ("k % 4", "(k + 1) % 3")
-    if mirrored:
-        crowns = crowns[::-1]
-    return (
-        "'<div class=\"battle_list_battle\" data-battle-type=\"' || CASE WHEN k % 29 = 6 THEN 'riverRaceDuel' ELSE 'trail' END || "
-        f"'\" data-timestamp=\"' || {_TIME_ATTRIBUTE} || '\"><h4 class=\"game_mode_header\">' || "
-        "CASE WHEN k % 13 = 4 THEN '2v2' ELSE 'Ranked' END || '</h4><div class=\"battle-team-segment-container\">' || "
-        f"{_player(s, team)} || {_player(o, opponent)} || '</div>' || {_POPUP} || {hp} || {matchup} || "
-        f"{_button(team, opponent, *crowns)} || '</div>'"
-    )
+    decks = _tag("button", {
+        "data-game-mode-id": "(72000000 + k % 5)", "data-players": "'1v1'", "data-opponent-deck": _deck_list(o),
+        "data-team-deck": f"CASE WHEN k % 31 = 8 THEN 'zzz' ELSE {_deck_list(s)} END", "data-index": "(1000000 + k)", "class": "'matchup_button'"}, "'decks'")
+    footer = f"{_button(team, opponent, *(crowns[::-1] if mirrored else crowns))} || CASE WHEN k % 23 = 9 THEN '' ELSE {decks} END"
+    parts = [
+        _tag("header", {}, f"{_POPUP} || " + _tag("h4", {"class": "'game_mode_header'"}, "CASE WHEN k % 13 = 4 THEN '2v2' ELSE 'Ranked' END")),
+        _towers("oppo", "team") if mirrored else _towers("team", "oppo"),
+        _tag("table", {"class": "'battle-team-segment-container'"}, f"{_seat(s, team)} || {_seat(o, opponent)}"),
+        _tag("footer", {}, footer),
+    ]
+    attributes = {"data-timestamp": _TIME_ATTRIBUTE, "data-battle-type": "CASE WHEN k % 29 = 6 THEN 'riverRaceDuel' ELSE 'trail' END", "class": "'battle_list_battle'"}
+    return _tag("article", attributes, " || ".join(parts))
 
 
 def list_pages(orders: DataFrame, mirrored: bool = False) -> DataFrame:

@@ -344,8 +344,28 @@ def player_links(body: Column) -> Column:
     """Players linked from a board, then those of embedded ranking rows."""
     targets = F.transform(X.tags(body), lambda t: X.attribute(t, "href"))
     links = F.transform(F.filter(targets, lambda t: t.rlike("^/player/[A-Za-z0-9]{3,}$")), lambda t: F.substring_index(t, "/", -1))
-    rows = F.regexp_extract_all(body, F.lit(V.RANKING_ROW), F.lit(1))
-    return F.array_distinct(F.concat(links, rows))
+    return F.array_distinct(F.concat(links, ranked_tags(body)))
+
+
+def ranked_tags(body: Column) -> Column:
+    """Tags of ranking rows embedded in a page: JSON objects that name a rank, bare or quoted, and right behind it a tag. Read by what stands
+    between quotation marks."""
+    def stripped(t: Column) -> Column:
+        return F.btrim(t, F.lit(X.BLANKS))
+
+    def tag_behind(parts: Column, i: Column) -> Column:
+        at = lambda n: F.get(parts, n)
+        next_ = stripped(at(i + 1))
+        quoted = next_ == ":"
+        bare = stripped(F.regexp_replace(F.regexp_replace(next_, "^:", ""), ",$", ""))
+        rank = F.when(quoted, at(i + 2)).when(next_.startswith(":") & next_.endswith(","), bare)
+        key = F.when(~quoted, i + 2).when(stripped(at(i + 3)) == ",", i + 4)
+        tag = at(key + 2)
+        named = (at(key) == "tag") & (stripped(at(key + 1)) == ":") & rank.rlike("^[0-9]+$") & tag.rlike("^[A-Za-z0-9]{3,}$")
+        return F.when(named, tag)
+
+    return let(F.split(body, '"'), lambda parts: F.filter(
+        F.transform(parts, lambda p, i: F.when(p == "rank", tag_behind(parts, i))), lambda t: t.isNotNull()))
 
 
 def _anchors(body: Column) -> Column:
