@@ -187,11 +187,15 @@ def telling(docs: DataFrame, found: DataFrame, prior: float = PRIOR, threshold:
     pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te")).join(entities, "entity").withColumn("_kind", kind), "pairs")
     near_kind = pairs.groupBy("_kind", "term").agg(F.sum("n_te").alias("_near")).join(F.broadcast(kinds), "_kind")
     pairs = pairs.join(near_kind.withColumn("p_kind", F.col("_near") / F.col("_kind_n")).select("_kind", "term", "p_kind"), ["_kind", "term"])
-    terms = document_counts(docs, pairs.select("term").distinct())
     n = float(max(2, docs.count()))
     given = (F.col("n_te") + prior * F.col("p_kind")) / (F.col("n_e") + prior)
-    share = F.log(F.lit(n) * given / F.col("n")) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
-    strong = pairs.join(terms, "term").withColumn("share", share).filter(F.col("share") >= threshold)
+    share = lambda count: F.log(F.lit(n) * given / F.col(count)) / F.greatest(F.log(F.lit(n) / F.col("n_e")), F.lit(1e-9))
+    # A word stands in no fewer documents than it stands near a value in: too many of these rule it out before it is counted.
+    near = F.array_distinct(F.flatten(F.transform("near", lambda x: F.transform(x["terms"], lambda t: t["term"]))))
+    least = found.select(F.explode(near).alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
+    pairs = materialize(pairs.join(least, "term").filter(share("n_near") >= threshold), "candidates")
+    terms = document_counts(docs, pairs.select("term").distinct())
+    strong = pairs.join(terms, "term").filter(share("n") >= threshold)
     # The class of the word, over all contexts of the entity against all contexts.
     classes = once.select("entity", F.explode(F.array_distinct(F.transform("terms", lambda t: kind_of(t["term"])))).alias("kind"))
     by_class = classes.groupBy("kind").agg(F.count("*").alias("n_k"))
