@@ -1,4 +1,5 @@
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -60,6 +61,11 @@ def test_steps_are_probabilities(spark, sf):
     assert np.allclose(sums[np.unique(model.classes)], 1)
 
 
+def test_workers_need_no_copy_of_the_package(odd):
+    model, _ = class_lm.train(odd)
+    assert b"matchloom" not in pickle.dumps(vars(model))
+
+
 def test_lm_odd_rows(odd):
     model, counts = class_lm.train(odd)
     rows = class_lm.score(odd, model, counts).collect()
