@@ -39,6 +39,7 @@ KINDS = ["email", "ip", "card", "phone"]
 REACH = 6  # words on either side
 PRIOR = 2.0  # contexts that the kind of an entity counts for
 THRESHOLD = 0.8
+PARTS = 16
 BITS = 1 << 21
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -194,6 +195,12 @@ def telling(docs: DataFrame, found: DataFrame, prior: float = PRIOR, threshold:
     near = F.array_distinct(F.flatten(F.transform("near", lambda x: F.transform(x["terms"], lambda t: t["term"]))))
     least = found.select(F.explode(near).alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
     pairs = materialize(pairs.join(least, "term").filter(share("n_near") >= threshold), "candidates")
+    # So does its count in any part of the documents: words of a sixteenth that are too frequent there already need no count
+    # over all. What is left is rare, and counted over all documents.
+    part = docs.filter(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(PARTS)) == 0)
+    part = part.coalesce(max(1, docs.rdd.getNumPartitions() // PARTS))
+    common = document_counts(part, pairs.select("term").distinct()).withColumnRenamed("n", "n_part")
+    pairs = materialize(pairs.join(common, "term", "left").filter(F.col("n_part").isNull() | (share("n_part") >= threshold)).drop("n_part"), "candidates")
     terms = document_counts(docs, pairs.select("term").distinct())
     strong = pairs.join(terms, "term").filter(share("n") >= threshold)
     # The class of the word, over all contexts of the entity against all contexts.
