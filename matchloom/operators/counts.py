@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.operators import select
+
 READY_KINDS = ("detail", "upgrade")
 OPEN = ("pending", "inflight")
+STALE_SECONDS = 15
 
 
 def by_kind_and_status(tasks: DataFrame) -> DataFrame:
@@ -61,6 +64,16 @@ def navigation_totals(pages: DataFrame, by: list[str] | None = None) -> DataFram
     })
 
 
+def runtime_state(beats: DataFrame, run: list[str], now: int) -> DataFrame:
+    """Each run's latest heartbeat (``seq``, ``phase``, ``updated_at`` in seconds), its age, and its phase. A heartbeat older than
+    ``STALE_SECONDS`` does not prove a running process: a phase that claims one is then ``stale_unknown``."""
+    latest = select.latest_by(beats.select(*run, "seq", "phase", "updated_at"), run, "seq")
+    age = F.greatest(F.lit(0).cast("bigint"), F.lit(now).cast("bigint") - F.col("updated_at"))
+    claims = F.col("phase").isNull() | F.col("phase").isin("running", "initializing", "waiting_for_sources")
+    return latest.withColumns({"heartbeat_age_seconds": age, "stale": age > STALE_SECONDS}).withColumn(
+        "phase", F.when(F.col("stale") & claims, "stale_unknown").otherwise(F.col("phase")))
+
+
 def as_metrics(one_row: DataFrame, section: str) -> DataFrame:
     """A one-row aggregate as (section, name, value) rows."""
     return one_row.select(F.explode(F.array(*[

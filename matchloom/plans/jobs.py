@@ -109,11 +109,13 @@ def _cursor_ms(value: Column) -> Column:
 
 def expand(
     pages: DataFrame, battles: DataFrame, known: DataFrame, base: str, low: int | None = None,
-    max_pages: int = 1000, zero_limit: int = 2, closed_season: bool = False,
+    max_pages: int = 1000, zero_limit: int = 2, closed_season: bool = False, season_end: int | None = None,
 ) -> dict[str, DataFrame]:
     """Frontier growth of captured pages (``url``, ``seq``, ``owner``, ``page``,
     ``zero_new_chain``, ``previous_fingerprint``, ``body``): players and next pages. A next page that is not followed
-    has its reason in ``navigation``: a cutoff, or an error, as at the page ceiling or where the cursor does not decrease."""
+    has its reason in ``navigation``: a cutoff, or an error, as at the page ceiling or where the cursor does not decrease.
+    In a closed season the first page counts as standing at ``season_end`` (in seconds), and cursors are compared by the second.
+    The walk of a player pool has rules of its own, see ``pool.walk``."""
     new = frontier.first_sightings(battles.filter("eligible"), known)
     players = frontier.discovered_players(pages, list_pages.player_tags(F.col("body")), new, base)
     capture = ["url", "seq"]
@@ -139,7 +141,12 @@ def expand(
     ends = (F.col("decision.stop_history") & F.lit(not closed_season)) | same
     cutoff = usable & ends
     cursor, previous = (_cursor_ms(U.query_param(u, "before")) for u in (url, F.col("url")))
-    backwards = is_true(cursor >= previous) | (F.lit(closed_season) & cursor.isNull())
+    if closed_season:
+        if season_end is not None:
+            previous = F.coalesce(previous, F.lit(season_end).cast("bigint") * 1000)
+        backwards = cursor.isNull() | is_true(F.floor(cursor / 1000) >= F.floor(previous / 1000))
+    else:
+        backwards = is_true(cursor >= previous)
     judged = step.withColumns({
         "cutoff": is_true(cutoff),
         "cutoff_reason": F.when(usable & same, "same_list_url").when(usable, F.col("decision.reason")),
@@ -310,6 +317,18 @@ def import_exclusions(
     }
 
 
+def campaign_status(tasks: DataFrame, decisions: DataFrame, waiting: DataFrame) -> DataFrame:
+    """A campaign's counts as (section, name, value) rows: tasks by kind and status, results by status and by tier, and how many index records
+    (``waiting``) are staged and not published."""
+    def counted(df: DataFrame, section: str, *keys: str) -> DataFrame:
+        name = F.concat_ws(":", *keys)
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("value")).select(F.lit(section).alias("section"), name.alias("name"), "value")
+
+    return counted(tasks, "tasks", "kind", "status").unionByName(counted(decisions, "status", "status")).unionByName(
+        counted(decisions, "tiers", "status", "tier")).unionByName(waiting.agg(F.count(F.lit(1)).alias("value")).select(
+            F.lit("index").alias("section"), F.lit("pending_index_records").alias("name"), "value"))
+
+
 def status(tasks: DataFrame, decisions: DataFrame, navigation: DataFrame, visits: DataFrame, accepted_log: DataFrame,
            as_of: Column, daily_target: int = 300_000) -> DataFrame:
     """Run status as (section, name, value) rows: one-row aggregates put side by side."""

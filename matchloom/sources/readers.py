@@ -6,15 +6,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom import schemas as S
 from matchloom.functions import text as X
+from matchloom.functions.expr import is_true, reasons
 from matchloom.operators import select
 from matchloom.operators.cohort import EvidenceError, require
 from matchloom.session import folders, is_whole
 
+CAMPAIGN_NAME = "[A-Za-z0-9][A-Za-z0-9_-]{0,63}"
+
 
 def pages_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.PAGES).parquet(path)
@@ -126,10 +129,19 @@ def one_contract(decisions: DataFrame, contract_sha256: str) -> None:
     require(other.groupBy("contract_sha256").count(), f"decisions pinned to another contract than {contract_sha256}")
 
 
+def campaign_faults(name: Column, low: Column, high: Column, has_roster: Column, discover: Column) -> Column:
+    """The same rules for a table of campaigns: an array of what is wrong with each."""
+    return reasons(
+        (~is_true(name.rlike(f"^{CAMPAIGN_NAME}\\z")),"campaign_name_invalid"),
+        (is_true(low >= high), "time_bounds_empty"),
+        (is_true(has_roster) & (low.isNull() | high.isNull()), "roster_needs_time_bounds"),
+        (is_true(has_roster) & is_true(discover), "roster_forbids_discovery"))
+
+
 def campaign_problems(name: str, low: int | None, high: int | None, has_roster: bool, discover: bool) -> list[str]:
     """Input rules of a campaign."""
     found = []
-    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_-]{0,63}", name):
+    if not re.fullmatch(CAMPAIGN_NAME, name):
         found.append("campaign_name_invalid")
     if low is not None and high is not None and low >= high:
         found.append("time_bounds_empty")
