@@ -3,6 +3,9 @@ and compared with what was written."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom import values as V
@@ -62,20 +65,25 @@ def replay_corpus_rows(spark, sf):
 
 @query("SELECT row_number() OVER (ORDER BY s_suppkey) AS rank, 'TAG' || s_suppkey AS tag, '2024-03' AS rank_season FROM supplier")
 def roster_file(spark, sf):
-    """A roster manifest written once, written again unchanged, and read with its rules and digest checked."""
+    """Roster manifests written once, written again unchanged, and read with their rules and digests checked. One manifest holds
+    ``MAX_RANK`` players at most, so there are as many as the players need, each ranked from one."""
     suppliers = load(spark, sf, "supplier").select("s_suppkey")
-    least = suppliers.agg(F.min("s_suppkey")).scalar()
+    least, most = suppliers.agg(F.min("s_suppkey"), F.max("s_suppkey")).first()
     players = suppliers.select(
         (F.col("s_suppkey") - least + 1).cast("bigint").alias("rank"), F.concat(F.lit("TAG"), "s_suppkey").alias("tag"),
         F.lit("2024-03").alias("rank_season"))
-    path = fresh_dir(spark, "roster")
-    manifest = {
-        "schema_version": 1, "season_id": "2024-03", "ranking_type": V.RANKING_TYPE, "top_n": players.count(), "eligibility": "season_top_n",
-        "start_utc": "2024-03-04T08:00:00Z", "end_utc": "2024-04-01T08:00:00Z", "source_urls": ["https://site.example/board"],
-        "boundary_source": "announced"}
-    for _ in range(2):
-        sinks.write_roster(manifest, players, path)
-    return contracts.load_roster(spark, path, F.lit("2024-06-01").cast("timestamp"), "2024-03")[0]
+    path, found = fresh_dir(spark, "roster"), []
+    for low in range(0, 1 if least is None else most - least + 1, V.MAX_RANK):
+        part = players.filter((F.col("rank") > low) & (F.col("rank") <= low + V.MAX_RANK)).withColumn("rank", F.col("rank") - low)
+        manifest = {
+            "schema_version": 1, "season_id": "2024-03", "ranking_type": V.RANKING_TYPE, "top_n": part.count(), "eligibility": "season_top_n",
+            "start_utc": "2024-03-04T08:00:00Z", "end_utc": "2024-04-01T08:00:00Z", "source_urls": ["https://site.example/board"],
+            "boundary_source": "announced"}
+        for _ in range(2):
+            sinks.write_roster(manifest, part, f"{path}/{low}")
+        read = contracts.load_roster(spark, f"{path}/{low}", F.lit("2024-06-01").cast("timestamp"), "2024-03")[0]
+        found.append(read.withColumn("rank", F.col("rank") + low))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query("SELECT DISTINCT lower(trim(p_brand)) AS card FROM part")
