@@ -20,6 +20,12 @@ _MEMBER = {"tag": "'TAG' || c_custkey", "rank": "c_custkey + 1", "rank_season":
 _MEMBER_FILTER = "c_mktsegment = 'BUILDING'"
 
 
+def _people(spark, sf):
+    """Customers, dealt to as many tasks as rendering and reading a page of each needs."""
+    people = load(spark, sf, "customer")
+    return people.repartition(R.tasks_for(people), "c_custkey")
+
+
 def _battles(spark, sf):
     return D._df(spark, sf, "orders", _BATTLE).select(
         "battle_tag", F.array("team_tag").alias("team_tags"), F.array("opponent_tag").alias("opponent_tags"))
@@ -173,7 +179,7 @@ WITH {_PROFILE_SQL}, b AS (SELECT c_custkey, max(s) AS rank_season, arg_max(r, s
 SELECT c_custkey AS seq, 'TAG' || c_custkey AS tag, CAST(r AS INT) AS "rank", rank_season FROM customer LEFT JOIN b USING (c_custkey)
 """)
 def profile_best(spark, sf):
-    pages = R.profile_pages(load(spark, sf, "customer"))
+    pages = R.profile_pages(_people(spark, sf))
     return cohort.profile_proofs(pages, "2024-08").select("seq", "tag", "rank", "rank_season")
 
 
@@ -189,7 +195,7 @@ SELECT tag, "rank", rank_season FROM f ORDER BY seq LIMIT (SELECT count(*) // 2
 def cohort_build(spark, sf):
     people = load(spark, sf, "customer")
     boards = R.board_pages(people.filter("c_acctbal > 6000"), "2024-08")
-    return jobs.build_cohort(boards, R.profile_pages(people), "2024-08", people.count() // 2, True).select("tag", "rank", "rank_season")
+    return jobs.build_cohort(boards, R.profile_pages(_people(spark, sf)), "2024-08", people.count() // 2, True).select("tag", "rank", "rank_season")
 
 
 @query("""

@@ -236,8 +236,9 @@ def dispatch(tasks: DataFrame, now, limit: int, ready_limit: int, list_limit: in
 def build_cohort(
     boards: DataFrame, profiles: DataFrame | None, season: str, size: int, historical: bool,
 ) -> DataFrame:
-    """Board and profile pages to the cohort's players with their proof."""
-    rows = cohort.board_rows(boards, season)
+    """Board and profile pages to the cohort's players with their proof. Pages are read once: what they say is written to the
+    shared folder, and the checks and the choice read that."""
+    rows = materialize(cohort.board_rows(boards, season), "board-rows")
     cohort.require(rows.filter("page_error IS NOT NULL").select("url", "page_error"), "board page unusable")
     # Boards before profiles, then page order, then place on the page.
     order = F.struct(F.lit(0).alias("kind"), F.col("seq").cast("bigint").alias("seq"), F.col("position").cast("bigint").alias("position"))
@@ -245,7 +246,7 @@ def build_cohort(
     if not historical:
         return cohort.ranked_players(listed, size).withColumn("rank_season", F.lit(season))
     if profiles is not None:
-        proofs = cohort.profile_proofs(profiles, season)
+        proofs = materialize(cohort.profile_proofs(profiles, season), "profile-proofs")
         cohort.require(proofs.filter("page_error IS NOT NULL").select("url", "page_error"), "profile page unusable")
         later = proofs.filter("rank IS NOT NULL").select(
             F.struct(F.lit(1).alias("kind"), F.col("seq").cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("position")).alias("seq"), F.col("rank").cast("bigint").alias("rank"), "tag", "rank_season")
