@@ -2,8 +2,11 @@
 
 import contextlib
 import io
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -58,6 +61,13 @@ def test_duration(spark, html, seconds):
     assert spark.createDataFrame([(html,)], "h string").select(replays.duration_seconds(F.col("h"))).first()[0] == seconds
 
 
+@pytest.mark.parametrize("reader", [markup._battles, markup._profile, markup._board])
+def test_workers_read_pages_without_the_package(reader, tmp_path):
+    load = "import pickle, sys; print(type(pickle.loads(sys.stdin.buffer.read())('<script>initRoster($(\\'#roster\\'), []);</script>')).__name__)"
+    made = subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(reader), capture_output=True, cwd=tmp_path, timeout=60)
+    assert made.returncode == 0, made.stderr.decode()
+
+
 def test_cohort_reads_pages_once(spark):
     read = spark.sparkContext.accumulator(0)
 
