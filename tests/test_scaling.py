@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 import markup_samples as S
 from matchloom.catalog import rendering as R
+from matchloom.functions import text as X
 from matchloom.operators import cohort, list_pages, markup, replays
 from matchloom.plans import jobs
 
@@ -54,6 +55,35 @@ def test_tags_of_one_class_text_and_nested_elements():
     assert page.text(2) == "xy" and page.parent[3] == 2 and page.first(5, "b") is None
 
 
+def test_plain_attributes_and_classes_are_read_without_scanning_again(monkeypatch):
+    class Unused:
+        def __getattr__(self, name):
+            raise AssertionError(name)
+
+    asked = []
+    monkeypatch.setattr(markup, "_CLASS", type("Counted", (), {"search": lambda self, raw, real=markup._CLASS: asked.append(raw) or real.search(raw)})())
+    page = markup._Page('<p class="only-here">a</p>' * 5 + "<b>x &lt; y</b>")
+    assert page.find(0, "only-here") == [1, 2, 3, 4, 5] and page.text(6) == "x < y" and asked == [' class="only-here"']
+    monkeypatch.setattr(markup, "_ATTRIBUTE", Unused())
+    assert markup._attributes(' A="1"  b = "x &amp; y" c="it\'s" /') == {"a": "1", "b": "x & y", "c": "it's"}
+
+
+@pytest.mark.parametrize("raw", [
+    "", "/", " x", ' a="1" a="2"', " a='1' b=\"2\"", ' a=1 b="2"', ' a b="2"', ' a="1"b="2"', '/a="1"', "\na=\"1\"\n", " a='x\"y' b='\"'", ' A="&lt;" a="2"', ' a="" b'])
+def test_attributes_are_those_of_the_pattern(raw):
+    found = {}
+    for name, *values in markup._ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), markup.unescape("".join(values)))
+    assert markup._attributes(raw) == found
+
+
+def test_slugs_with_and_without_hyphens(spark):
+    slugs = [("Zap", "zap", "base"), ("hog-rider", "hog-rider", "base"), ("Hog-Rider-EV2", "hog-rider", "ev2"), ("x-hero", "x", "hero"),
+             (" x-hero ", " x-hero ", "hero"), ("x-ev", "x-ev", "base"), ("-hero", "", "hero"), ("", "", "base"), (None, None, "base")]
+    rows = spark.createDataFrame(slugs, "c string, b string, f string").select(X.base_slug(F.col("c")), "b", X.card_form(F.col("c")), "f").collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in rows)
+
+
 @pytest.mark.parametrize("html, seconds", [
     ('<div class="marker end_time"> 1:05</div><em>7:07</em>', 65), ('<div class="end_time">1:05</div><em>7:07</em>', 427),
     ('<div class="marker end_time">soon</div><div class="end_time marker">0:09</div>', 9), ("<em>0:30</em><em>0:20</em>", 30), ("", None), (None, None)])
