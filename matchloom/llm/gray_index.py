@@ -37,6 +37,21 @@ CHUNK = 1 << 19  # node pairs expanded at once
 BUFFER = 1 << 18  # rows joined at once, if no key has more
 
 
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def _signed(ones: np.ndarray, size: int) -> int:
+    return int(np.packbits(2 * ones > size, bitorder="little").view(np.int64)[0])
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of shingle hashes, repeats included; zero if there are none."""
+    chunks = range(0, len(hashes), 1 << 16)
+    return _signed(sum((_ones(hashes[a:a + (1 << 16)]) for a in chunks), np.zeros(64, np.int64)), len(hashes))
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """Signed 64-bit SimHash over word shingles, repeats included; a bit is set if it is in over half of them."""
     words = (text or "").encode().translate(BYTE_FOLD).split()
@@ -52,8 +67,8 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     for a in range(0, size, 1 << 16):
         b = min(size, a + (1 << 16))
         h = np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts[a:b], last[a:b])), np.uint64, b - a)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > size, bitorder="little").view(np.int64)[0])
+        ones += _ones(h)
+    return _signed(ones, size)
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -185,14 +200,18 @@ def forest(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def groups(prints: DataFrame) -> DataFrame:
-    """``fp``, ``root`` (one fingerprint per group) and ``component_id`` of every distinct fingerprint."""
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+def linked_groups(distinct: DataFrame) -> DataFrame:
+    """``fp`` and ``root`` (one fingerprint per group) of every one of the distinct fingerprints that has a link."""
     rows = distinct.select(F.explode(table_keys(F.col("fp"))).alias("key"), "fp")
     sorted_rows = rows.repartition("key").sortWithinPartitions("key", gray_rank(F.col("fp")))
     edges = forest(sorted_rows).distinct()
-    roots = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    known = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("fp"), "root")
+
+
+def groups(prints: DataFrame) -> DataFrame:
+    """``fp``, ``root`` (one fingerprint per group) and ``component_id`` of every distinct fingerprint."""
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+    known = distinct.join(linked_groups(distinct), "fp", "left")
     known = known.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = known.filter(F.col("root") != F.col("fp")).groupBy("root").agg(F.min("least").alias("_least"))
     # Roots take part through their own row; members look their root up.

@@ -2,10 +2,11 @@
 
 Two texts are near copies if the sets of their ``width``-word shingles (A-Z folded; a shorter text is one
 shingle, a text without words the empty one) have a Jaccard similarity of ``LEAST`` or more. SimHash cannot
-find them by few differing bits: texts at 0.8 differ in about ten of 64. So pairs to compare come from
-minima of the sets under BANDS * ROWS hash functions, of which ROWS make a key: texts at 0.8 miss each
-other's keys with a chance of (1 - 0.8^5)^32, three in a million, nearer ones more rarely. Every pair is then
-verified on the sets themselves, so nothing is linked that is not at ``LEAST``.
+find all of them by few differing bits: texts at 0.8 differ in about ten of 64. So pairs to compare come from two
+places. The Gray tables of ``gray_index`` link the texts' SimHashes (same shingles, repeats included) at three bits or fewer,
+and what they link is one key. For the rest, minima of the sets are taken under BANDS * ROWS hash functions, of which ROWS
+make a key: texts at 0.8 miss each other's keys with a chance of (1 - 0.8^5)^32, three in a million, nearer ones more
+rarely. Every pair is then verified on the sets themselves, so nothing is linked that is not at ``LEAST``.
 
 Exact copies are one text. Texts of one key are first compared with the smallest of them, which joins
 a group of near copies at one pair a text; then every pair of one key that is still in two components, and of
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.base import BYTE_FOLD, map_batches, ships
-from matchloom.llm.gray_index import text_hash
+from matchloom.llm.gray_index import fingerprint_of, linked_groups, text_hash
 from matchloom.llm.stars import components
 from matchloom.session import materialize
 
@@ -36,17 +37,27 @@ BANDS, ROWS = 32, 5
 BLOCK = 1 << 8  # shingles put through all hash functions at once
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included; none for a text without words."""
     words = (text or "").encode().translate(BYTE_FOLD).split()
     if not words:
-        return np.zeros(1, np.uint64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     size = max(1, len(words) - width + 1)
     ends = [e - 1 for e in accumulate(len(w) + 1 for w in words)]
     starts = [0, *(e + 1 for e in ends)]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends[len(words) - size:])), np.uint64, size))
+    return np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends[len(words) - size:])), np.uint64, size)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The set of a text's shingles, sorted: that of a text without words holds a zero."""
+    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
+
+
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    return distinct(shingle_hashes(text, width))
 
 
 def band_keys(hashes: np.ndarray) -> np.ndarray:
@@ -64,13 +75,22 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``same`` (hash of the text), ``n`` (shingles) and ``keys`` of every distinct text."""
+    """``same`` (hash of the text), ``n`` (shingles), ``fp`` (SimHash) and ``keys`` of every distinct text."""
     def batch(c):
-        sets = [shingles(t, width) for t in c["text"]]
-        return {"same": c["same"], "n": [len(s) for s in sets], "keys": [band_keys(s) for s in sets]}
+        hashes = [shingle_hashes(t, width) for t in c["text"]]
+        sets = [distinct(h) for h in hashes]
+        return {"same": c["same"], "n": [len(s) for s in sets], "fp": [fingerprint_of(h) for h in hashes],
+                "keys": [band_keys(s) for s in sets]}
 
     texts = docs.select(text_hash(docs["text"]).alias("same"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-    return map_batches(texts, batch, "same bigint, n int, keys array<bigint>").dropDuplicates(["same"])
+    return map_batches(texts, batch, "same bigint, n int, fp bigint, keys array<bigint>").dropDuplicates(["same"])
+
+
+def gray_keys(table: DataFrame) -> DataFrame:
+    """``same``, ``n`` and ``key``: the group of its SimHash in the Gray tables, for every text of ``table``."""
+    prints = materialize(table.select("fp").distinct(), "prints")
+    found = table.join(linked_groups(prints), "fp", "left")
+    return found.select("same", "n", F.xxhash64(F.lit("gray"), F.coalesce("root", "fp")).alias("key"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -98,7 +118,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
 def roots(docs: DataFrame, width: int) -> DataFrame:
     """``same`` and ``root`` (one text per component) of every text that has a near copy."""
     table = materialize(sketches(docs, width), "sketches")
-    keyed = table.select("same", "n", F.explode("keys").alias("key"))
+    keyed = gray_keys(table).unionByName(table.select("same", "n", F.explode("keys").alias("key")))
     shared = keyed.groupBy("key").agg(F.min("same").alias("u"), F.count("*").alias("_k")).filter("_k > 1").select("key", "u")
     keyed = materialize(keyed.join(shared, "key"), "keyed")
     first = materialize(keyed.filter("same != u").select("u", F.col("same").alias("v")).distinct(), "pairs")

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from matchloom.llm import near_copies
+from matchloom.llm import gray_index, near_copies
 
 
 def grams(t):
@@ -64,3 +64,16 @@ def test_near_copies_odd_rows(odd):
     assert kept.columns == odd.columns and near_copies.one_of_each(odd.limit(0), 5).count() == 0
     rows = kept.collect()
     assert sum(not (r.text or "").strip() for r in rows) == 1 and any(r.doc_id is None for r in rows)
+
+
+def test_gray_tables_give_pairs_without_minima(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(4000)}" for _ in range(3000)]
+    near = [*base[:-1], "other"]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(f"v{i}" for i in range(300)))]
+    prints = [gray_index.fingerprint(t, 5) for _, t in rows]
+    assert bin((prints[0] ^ prints[1]) & (1 << 64) - 1).count("1") <= gray_index.LIMIT
+    assert prints == [gray_index.fingerprint_of(near_copies.shingle_hashes(t, 5)) for _, t in rows]
+    monkeypatch.setattr(near_copies, "band_keys", lambda hashes: hashes[:0].view("int64"))  # no minima at all
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id for r in near_copies.one_of_each(docs, 5).collect()} == {1, 3}
