@@ -127,3 +127,18 @@ def test_one_roster_is_still_bounded(spark, tmp_path):
     rows = spark.range(1, 10_002).selectExpr("id AS rank", "'TAG' || id AS tag", "'2024-03' AS rank_season")
     with pytest.raises(cohort.EvidenceError):
         sinks.write_roster({}, rows, f"{tmp_path}/roster")
+
+
+def _written(monkeypatch, module):
+    """Columns of the tables that a module writes, by label."""
+    seen, real = {}, module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: seen.setdefault(label, (df.columns, real(df, label)))[1])
+    return seen
+
+
+def test_walk_writes_only_what_it_reads_of_battles(spark, monkeypatch):
+    from matchloom.catalog import pools
+
+    seen = _written(monkeypatch, pools)
+    pools._walk(spark, "/root/testdata/sf0.001")
+    assert sorted(seen["pool-battles"][0]) == sorted(pools.pool.SIGHTING)
