@@ -142,3 +142,26 @@ def test_walk_writes_only_what_it_reads_of_battles(spark, monkeypatch):
     seen = _written(monkeypatch, pools)
     pools._walk(spark, "/root/testdata/sf0.001")
     assert sorted(seen["pool-battles"][0]) == sorted(pools.pool.SIGHTING)
+
+
+def test_documents_and_battles_are_judged_without_tables_between(spark, monkeypatch):
+    from matchloom.catalog import flows
+
+    seen = _written(monkeypatch, flows)
+    flows._judged(spark, "/root/testdata/sf0.001")
+    assert not seen
+
+
+def test_cards_outside_the_contract_are_named(spark):
+    from pyspark.sql import functions as F
+
+    from matchloom.catalog.flows import CONTRACT
+    from matchloom.operators import gate
+
+    cards = [f"card{i}" for i in range(6)] + ["zap", "drone-ev1"]
+    player = ("struct<tower_troop:string,tower_troop_level:int,full_deck:array<string>,card_levels:map<string,int>,"
+              "deck_cards:array<struct<slot:int,slug:string,base_slug:string,form:string,level:int>>>")
+    df = spark.createDataFrame([(cards, cards)], "team_deck array<string>, opponent_deck array<string>").withColumn(
+        "rounds", F.lit(None).cast(f"array<struct<team:array<{player}>,opponent:array<{player}>>>"))
+    found = df.select(gate._deck_tier(CONTRACT)).first()[0]
+    assert found == ["team_native_card_mapping_missing:drone-ev1,zap", "opponent_native_card_mapping_missing:drone-ev1,zap"]
