@@ -165,3 +165,11 @@ def test_cards_outside_the_contract_are_named(spark):
         "rounds", F.lit(None).cast(f"array<struct<team:array<{player}>,opponent:array<{player}>>>"))
     found = df.select(gate._deck_tier(CONTRACT)).first()[0]
     assert found == ["team_native_card_mapping_missing:drone-ev1,zap", "opponent_native_card_mapping_missing:drone-ev1,zap"]
+
+
+def test_ordinary_faults_write_only_what_the_checks_read(spark, monkeypatch):
+    from matchloom.catalog import faults
+
+    seen = _written(monkeypatch, faults)
+    assert faults.ordinary_faults(spark, "/root/testdata/sf0.001").count() > 0
+    assert sorted(seen["checked"][0]) == sorted(["k", "battle_tag", "_first", *faults.gate.CHECKED])
