@@ -173,3 +173,14 @@ def test_ordinary_faults_write_only_what_the_checks_read(spark, monkeypatch):
     seen = _written(monkeypatch, faults)
     assert faults.ordinary_faults(spark, "/root/testdata/sf0.001").count() > 0
     assert sorted(seen["checked"][0]) == sorted(["k", "battle_tag", "_first", *faults.gate.CHECKED])
+
+
+def test_stream_writes_only_what_it_stores_of_judged_documents(spark, monkeypatch):
+    from matchloom.catalog import flows
+    from matchloom.streaming import acceptance
+
+    columns, real = [], acceptance.materialize
+    monkeypatch.setattr(acceptance, "materialize", lambda df, label: (columns.append((label, df.columns)), real(df, label))[1])
+    flows._accept_stream(spark, "/root/testdata/sf0.001", 1 << 40)
+    judged = [c for label, c in columns if label == "judged"]
+    assert len(judged) == 2 and all(sorted(c) == sorted([*acceptance.STORED, "decision", "tier", "reason"]) for c in judged)
