@@ -61,6 +61,63 @@ def test_steps_are_probabilities(spark, sf):
     assert np.allclose(sums[np.unique(model.classes)], 1)
 
 
+def test_every_word_gets_its_own_class(spark, monkeypatch):
+    # Words of one ending, so of one bucket: half of them stand where the unit "noun" stands, half where "verb" does.
+    monkeypatch.setattr(class_lm, "OWN", 4)
+    monkeypatch.setattr(class_lm, "CLASSES", 6)
+    rng = np.random.default_rng(1)
+    nouns, verbs = [f"n{i}tion" for i in range(30)], [f"v{i}tion" for i in range(30)]
+    texts = [" ".join(f"the {rng.choice([*nouns, *['noun'] * 9])} will {rng.choice([*verbs, *['verb'] * 9])}" for _ in range(40)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    around = class_lm.contexts(docs, spark.sparkContext.broadcast([b"the", b"will", b"noun", b"verb"]))
+    classes = np.full(class_lm.UNITS, 5)
+    classes[:4], classes[class_lm.OWN + class_lm.bucket(b"xtion")] = range(4), 4
+    pairs = np.zeros((class_lm.UNITS, class_lm.UNITS))
+    for r in around.filter("word IS NULL").collect():
+        pairs[r.before, r.after] += r.n
+    member = np.eye(class_lm.CLASSES)[classes]
+    got = {r["word"]: (r["n"], r["class"]) for r in class_lm.word_classes(around, classes, member.T @ pairs @ member).collect()}
+    said = Counter(w for t in texts for w in t.split() if w.endswith("tion"))
+    assert {w: n for w, (n, _) in got.items()} == said
+    assert {got[w][1] for w in nouns} == {2} and {got[w][1] for w in verbs} == {3}  # by their bucket, all would have one class
+
+
+def test_moves_are_those_of_the_exchange():
+    rng = np.random.default_rng(2)
+    k, words = 5, 12
+    pairs, of = rng.poisson(3, (words, words)).astype(float), rng.integers(0, k, words)
+    f = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0)
+
+    def information(classes):
+        table = np.eye(k)[classes].T @ pairs @ np.eye(k)[classes]
+        return f(table).sum() - f(table.sum(axis=0)).sum() - f(table.sum(axis=1)).sum()
+
+    member = np.eye(k)[of]
+    other = pairs * (1 - np.eye(words))
+    spread = lambda m: (np.repeat(np.arange(words), k), np.tile(np.arange(k), words), (m @ member).ravel())
+    got = class_lm.best_classes(member.T @ pairs @ member, of, spread(other), spread(other.T), np.diag(pairs))
+    for w in range(words):
+        gains = [information(np.where(np.arange(words) == w, c, of)) for c in range(k)]
+        assert gains[got[w]] == pytest.approx(max(gains))
+
+
+def test_steps_count_every_word_in_its_class(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "FREQUENT", 4)  # all others are joined
+    texts = ["a b c d a b e f a b c g", "a b h a b c d i j", None, "k k k a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model, counts = class_lm.train(docs)
+    of = {r["word"]: r["class"] for r in counts.collect()}
+    assert len(of) == 11
+    end = int(model.classes[-1])
+    expected = np.zeros((class_lm.CLASSES, class_lm.CLASSES))
+    for t in texts:
+        chain = [end, *[of[w] for w in (t or "").split()], end]
+        for x, y in zip(chain, chain[1:]):
+            expected[x, y] += 1
+    got = class_lm.class_steps(class_lm.sequences(docs, model, counts), model)
+    assert (got == expected).all()
+
+
 def test_workers_need_no_copy_of_the_package(odd):
     model, _ = class_lm.train(odd)
     assert b"matchloom" not in pickle.dumps(vars(model))
