@@ -175,6 +175,10 @@ def test_ordinary_faults_write_only_what_the_checks_read(spark, monkeypatch):
     assert sorted(seen["checked"][0]) == sorted(["k", "battle_tag", "_first", *faults.gate.CHECKED])
 
 
+def test_pages_of_a_task_are_few(spark):
+    assert R.tasks_for(spark.range(1_000_001)) == 201  # a Python worker holds the pages of 5 000 battles at once
+
+
 def test_stream_writes_only_what_it_stores_of_judged_documents(spark, monkeypatch):
     from matchloom.catalog import flows
     from matchloom.streaming import acceptance
