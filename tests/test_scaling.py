@@ -175,6 +175,17 @@ def test_ordinary_faults_write_only_what_the_checks_read(spark, monkeypatch):
     assert sorted(seen["checked"][0]) == sorted(["k", "battle_tag", "_first", *faults.gate.CHECKED])
 
 
+def test_gate_faults_write_only_what_the_gate_reads(spark, monkeypatch):
+    from matchloom.catalog import faults
+
+    seen = _written(monkeypatch, faults)
+    assert faults.gate_faults(spark, "/root/testdata/sf0.001").filter("reason <> ''").count() > 0
+    columns, judged = seen["judged"]
+    assert sorted(columns) == sorted(["k", "decision", "tier", "reason", *faults.gate.JUDGED])
+    assert judged.filter("decision <> 'accepted' AND (card_plays IS NOT NULL OR rounds IS NOT NULL)").count() == 0
+    assert judged.filter("decision = 'accepted' AND card_plays IS NOT NULL").count() > 0
+
+
 def test_pages_of_a_task_are_few(spark):
     assert R.tasks_for(spark.range(1_000_001)) == 201  # a Python worker holds the pages of 5 000 battles at once
 
